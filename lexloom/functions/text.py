@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters that Python's str.split() and str.strip() treat as space,
-# written so that Java regex and RE2 read the class alike.
-SPACE = (
-    r"\s\x{b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# The characters that Python's str.split() and str.strip() treat as space.
+SPACE_CHARS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0 "
+    "           "
+    "    　"
 )
 # The separators that Python's str.splitlines() breaks on.
-LINE_BREAK = r"\r\n|[\n\r\x{b}\x{c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}]"
-
-WORD_RUN = f"([^{SPACE}]+)"
+LINE_BREAKS = r"[\n\r\x{b}\x{c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}]"
+# Java's Unicode white space lacks four of the characters above.
+SPACE_RUN = r"(?U)[\s\x{1c}-\x{1f}]+"
 LETTER_RUN = r"(\p{L}+)"
-EDGE_SPACE = f"^[{SPACE}]+|[{SPACE}]+$"
 LEADING_SPACE_MARK = "Ġ"
 
 
@@ -26,12 +25,12 @@ def _col(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Drop every kind of space at both ends (``trim`` would drop U+0020 only)."""
-    return F.regexp_replace(_col(c), EDGE_SPACE, "")
+    return F.btrim(_col(c), F.lit(SPACE_CHARS))
 
 
 def ws_tokens(c: Column | str) -> Column:
     """Whitespace-separated tokens; empty array for blank text, null for null."""
-    return F.regexp_extract_all(_col(c), F.lit(WORD_RUN), F.lit(1))
+    return F.array_remove(F.split(strip(c), SPACE_RUN, -1), "")
 
 
 def letter_tokens(c: Column | str) -> Column:
@@ -76,8 +75,11 @@ def with_prefix(prefix: str, c: Column | str) -> Column:
 
 
 def drop_blank_lines(c: Column | str) -> Column:
-    """Keep lines that show something, with their own indent, joined by newlines."""
-    lines = F.split(_col(c), LINE_BREAK, -1)
+    """Keep lines that show something, with their own indent, joined by newlines.
+
+    Splitting a CRLF in two only adds a blank line, which is dropped.
+    """
+    lines = F.split(_col(c), LINE_BREAKS, -1)
     return F.array_join(F.filter(lines, lambda line: strip(line) != ""), "\n")
 
 

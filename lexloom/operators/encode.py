@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.functions.text import ws_tokens
+from lexloom.operators.frames import salted_join
 
 
 def bucket_of(token: Column, dims: int = 64) -> Column:
@@ -62,17 +63,21 @@ def fit_idf(train_terms: DataFrame, n_docs: Column, key: str = "doc_id") -> Data
 
 
 def weigh_terms(terms: DataFrame, idf: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``(key, term, w)``: counts times frozen weights; terms unseen in training are left out."""
-    return terms.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    """``(key, term, w)``: counts times frozen weights; terms unseen in training are left out.
+
+    A term that most texts hold is divided over several tasks.
+    """
+    joined = salted_join(terms, idf, "term", by=key)
+    return joined.select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
 
 
 def tfidf_cosine(
-    docs_w: DataFrame, labels_w: DataFrame, key: str = "doc_id", label: str = "item_id"
+    docs_w: DataFrame, labels_w: DataFrame, key: str = "doc_id", label: str = "label"
 ) -> DataFrame:
     """``(key, label, sim)`` for the document and label pairs that share a term.
 
-    Both sides are in long form and meet on the term. The document norm is aggregated apart
-    and joined on the document key.
+    Both sides are in long form and meet on the term. The labels are few, so a document term
+    meets at most that many label terms; the document norm is aggregated apart.
     """
     doc_norm = docs_w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm_d"))
     label_norm = labels_w.groupBy(label).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm_l"))

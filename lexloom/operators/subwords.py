@@ -45,35 +45,38 @@ def merge_symbols(symbols: Column, left: str, right: str) -> Column:
 
 
 def learn_subwords(
-    docs: DataFrame, n_merges: int, per_round: int = 1, checkpoint_every: int = 8, text: str = "text"
+    docs: DataFrame, n_merges: int, checkpoint_every: int = 8, text: str = "text"
 ) -> list[tuple[str, str, int]]:
     """``(left, right, n)`` merges in the order learned, ties by ``(n desc, left, right)``.
 
-    The loop runs over the table of distinct words, never over the texts; the driver receives
-    a few pairs per round. ``per_round=1`` is the exact greedy order; more per round takes the
-    best pairs that share no symbol.
+    The loop runs over the table of distinct words, never over the texts. Pairs are counted
+    whole once; after a merge only the words that hold the merged pair are taken apart again,
+    and the difference corrects the counts. The driver receives one pair per round.
     """
     words = cut_lineage(word_table(docs, text))
+    counts = cut_lineage(pair_counts(words))
     merges: list[tuple[str, str, int]] = []
-    since_cut = 0
-    while len(merges) < n_merges:
-        want = min(per_round, n_merges - len(merges))
-        ranked = (
-            pair_counts(words).orderBy(F.desc("n"), "left", "right").limit(max(1, want * 8)).collect()
-        )
-        if not ranked:
+    for step in range(1, n_merges + 1):
+        best = counts.orderBy(F.desc("n"), "left", "right").limit(1).collect()
+        if not best:
+            break
+        left, right, n = best[0]["left"], best[0]["right"], best[0]["n"]
+        merges.append((left, right, n))
+        if step == n_merges:
             break
-        used: set[str] = set()
-        for row in ranked:
-            if want == 0 or (used and {row["left"], row["right"]} & used):
-                continue
-            merges.append((row["left"], row["right"], row["n"]))
-            used |= {row["left"], row["right"], row["left"] + row["right"]}
-            words = words.withColumn("symbols", merge_symbols(F.col("symbols"), row["left"], row["right"]))
-            want -= 1
-            since_cut += 1
-        if since_cut >= checkpoint_every and len(merges) < n_merges:
-            words, since_cut = cut_lineage(words), 0
+        held = words.filter(F.contains("symbols", F.lit(f" {left}  {right} ")))
+        merged = merge_symbols(F.col("symbols"), left, right)
+        change = F.array(
+            F.struct(F.col("symbols"), (-F.col("n")).alias("n")),
+            F.struct(merged.alias("symbols"), F.col("n")),
+        )
+        difference = pair_counts(held.select(F.inline(change)))
+        counts = cut_lineage(
+            counts.unionByName(difference).groupBy("left", "right").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
+        )
+        words = words.withColumn("symbols", merged)
+        if step % checkpoint_every == 0:
+            words = cut_lineage(words)
     return merges
 
 

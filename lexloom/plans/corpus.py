@@ -15,8 +15,8 @@ from lexloom.operators.classify import SENTIMENT_PROMPT, add_prompt
 from lexloom.operators.frames import format_report, preview, top_n
 from lexloom.operators.metrics import class_counts as count_classes
 from lexloom.operators.metrics import count_rows
-from lexloom.plans.registry import REPLIES, REVIEWS, Registry, words
-from lexloom.session import shared_folder, spread
+from lexloom.plans.registry import EDGE_SPACE, REPLIES, REVIEWS, Registry, words
+from lexloom.session import shared_folder
 from lexloom.sources import tables as tb
 from lexloom.sources.files import inline_table, project_key, take_split, write_if_absent
 
@@ -95,8 +95,8 @@ def template_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_R.add(
     f"""SELECT doc_id, array_to_string(list_filter(
-             regexp_split_to_array(text, '{tx.LINE_BREAK}'),
-             lambda l: regexp_replace(l, '{tx.EDGE_SPACE}', '', 'g') <> ''), chr(10)) AS text
+             regexp_split_to_array(text, '{tx.LINE_BREAKS}'),
+             lambda l: regexp_replace(l, '{EDGE_SPACE}', '', 'g') <> ''), chr(10)) AS text
     FROM documents"""
 )
 def blank_lines_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +115,7 @@ def clip_and_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_R.add(
-    f"""SELECT doc_id, len({words('text')}) AS n_tokens, regexp_replace(text, '{tx.EDGE_SPACE}', '', 'g') AS stripped,
+    f"""SELECT doc_id, len({words('text')}) AS n_tokens, regexp_replace(text, '{EDGE_SPACE}', '', 'g') AS stripped,
            len(string_split(text, chr(10))) AS n_lines
     FROM documents"""
 )
@@ -166,8 +166,7 @@ def _letter_model():
            (length(text) - length(replace(text, 'e', '')))::BIGINT AS n_e FROM documents"""
 )
 def batch_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(tb.docs(spark, sf_dir), "doc_id")
-    return map_batches(docs, _letter_model, "n_chars bigint, n_e bigint").select("doc_id", "n_chars", "n_e")
+    return map_batches(tb.docs(spark, sf_dir), _letter_model, "n_chars bigint, n_e bigint").select("doc_id", "n_chars", "n_e")
 
 
 def _json_number_model():

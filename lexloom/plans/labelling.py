@@ -10,7 +10,6 @@ from lexloom.operators import metrics as mt
 from lexloom.operators.encode import hash_encode
 from lexloom.plans.corpus import LABEL_NAMES
 from lexloom.plans.registry import HASHED, REVIEWS, SCORES, Registry
-from lexloom.session import spread
 from lexloom.sources import tables as tb
 
 _R = Registry()
@@ -21,7 +20,7 @@ NEGATIVE_WORDS = ["nicht", "pas", "mal"]
 
 
 def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hash_encode(spread(tb.reviews(spark, sf_dir), "doc_id"))
+    return hash_encode(tb.reviews(spark, sf_dir))
 
 
 _LABEL_ROWS = ", ".join(

@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.functions.text import WORD_RUN
+# the space characters of lexloom.functions.text.SPACE_CHARS as an RE2 class
+SPACE = (
+    r"\s\x{b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+EDGE_SPACE = f"^[{SPACE}]+|[{SPACE}]+$"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,7 +36,7 @@ class Registry:
 
 def words(expr: str) -> str:
     """SQL list of the whitespace tokens of ``expr``."""
-    return f"regexp_extract_all({expr}, '{WORD_RUN}', 1)"
+    return f"regexp_extract_all({expr}, '([^{SPACE}]+)', 1)"
 
 
 def bucket(expr: str, dims: int = 64) -> str:

@@ -11,7 +11,7 @@ from lexloom.operators import subwords as sw
 from lexloom.operators import tokens as tk
 from lexloom.operators.frames import softmax_over
 from lexloom.plans.registry import Registry, words
-from lexloom.session import cut_lineage, spread
+from lexloom.session import cut_lineage
 from lexloom.sources import tables as tb
 
 _R = Registry()
@@ -21,12 +21,8 @@ VOCAB_SIZE = 5000
 N_MERGES = 12
 
 
-def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(tb.docs(spark, sf_dir), "doc_id")
-
-
 def _vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tk.build_vocab(_docs(spark, sf_dir), VOCAB_SIZE, min_count=2)
+    return tk.build_vocab(tb.docs(spark, sf_dir), VOCAB_SIZE, min_count=2)
 
 
 TOKENS = f"""tok AS (
@@ -55,7 +51,7 @@ def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _encoded(spark: SparkSession, sf_dir: str, words_table: DataFrame) -> DataFrame:
-    return tk.encode(_docs(spark, sf_dir), words_table, VOCAB_SIZE)
+    return tk.encode(tb.docs(spark, sf_dir), words_table, VOCAB_SIZE)
 
 
 @_R.add(f"WITH {ENCODED} SELECT doc_id, len(ids) AS n_ids, array_to_string(ids, ' ') AS ids FROM encoded")
@@ -117,12 +113,12 @@ LOOKED_UP = ["the", "la", "und", "de"]
 )
 def token_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = tx.mark_leading_space(tx.ws_tokens("text"))
-    return tk.find_token(_docs(spark, sf_dir), marked, LOOKED_UP)
+    return tk.find_token(tb.docs(spark, sf_dir), marked, LOOKED_UP)
 
 
 @_R.add(f"WITH {TOKENS} SELECT doc_id, pos::INTEGER AS pos, token FROM tok")
 def token_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tk.token_breakdown(_docs(spark, sf_dir), tx.ws_tokens("text"))
+    return tk.token_breakdown(tb.docs(spark, sf_dir), tx.ws_tokens("text"))
 
 
 @_R.add(
@@ -136,7 +132,7 @@ def token_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def token_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct piece between two spaces, with its newlines made visible."""
-    pieces = _docs(spark, sf_dir).select(F.explode(tx.split_fields("text", " ")).alias("token")).distinct()
+    pieces = tb.docs(spark, sf_dir).select(F.explode(tx.split_fields("text", " ")).alias("token")).distinct()
     return pieces.select("token", tx.show_token("token").alias("shown"))
 
 
@@ -152,7 +148,7 @@ def token_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM c GROUP BY variant"""
 )
 def tokenizer_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    full = tk.tokenizer_report(_docs(spark, sf_dir))
+    full = tk.tokenizer_report(tb.docs(spark, sf_dir))
     return full.withColumn("tokens_per_doc", F.round("tokens_per_doc", 6)).withColumn(
         "unknown_rate", F.round("unknown_rate", 6)
     )
@@ -185,7 +181,7 @@ def _merge_ctes(n_merges: int) -> str:
 @_R.add(f'WITH {SYMBOLS}, {_pair_cte(0)} SELECT l AS "left", r AS "right", n FROM p0')
 def subword_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pair counts of the first round."""
-    return sw.pair_counts(sw.word_table(_docs(spark, sf_dir)))
+    return sw.pair_counts(sw.word_table(tb.docs(spark, sf_dir)))
 
 
 @_R.add(
@@ -193,7 +189,7 @@ def subword_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     + " UNION ALL ".join(f'SELECT {i + 1} AS step, l AS "left", r AS "right", n FROM m{i}' for i in range(N_MERGES))
 )
 def subword_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merges = sw.learn_subwords(_docs(spark, sf_dir), N_MERGES)
+    merges = sw.learn_subwords(tb.docs(spark, sf_dir), N_MERGES)
     rows = [(i + 1, *merge) for i, merge in enumerate(merges)]
     return spark.createDataFrame(rows, "step int, left string, right string, n bigint")
 
@@ -206,7 +202,7 @@ def subword_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
            coalesce(pieces, '') AS pieces FROM documents d LEFT JOIN pieces USING (doc_id)"""
 )
 def subword_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _docs(spark, sf_dir)
+    docs = tb.docs(spark, sf_dir)
     pieces = sw.apply_subwords(docs, sw.learn_subwords(docs, N_MERGES))
     return pieces.select(
         "doc_id", F.size("pieces").cast("bigint").alias("n_pieces"), F.array_join("pieces", " ").alias("pieces")
@@ -239,7 +235,7 @@ def _prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _completed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ng.complete(_docs(spark, sf_dir), _prompts(spark, sf_dir), k=4)
+    return ng.complete(tb.docs(spark, sf_dir), _prompts(spark, sf_dir), k=4)
 
 
 @_R.add(
@@ -248,7 +244,7 @@ def _completed(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def next_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three likeliest next tokens of every token."""
-    table = ng.next_tokens(ng.next_counts(_docs(spark, sf_dir)), k=3)
+    table = ng.next_tokens(ng.next_counts(tb.docs(spark, sf_dir)), k=3)
     return table.select(
         "prefix", "rank", "next", "n", F.round("score", 6).alias("score"), F.round("share", 6).alias("share")
     )
@@ -284,7 +280,7 @@ def next_token_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def softmax_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Softmax of ln(count) over the tokens of each language: the token's share."""
-    docs = spread(tb.read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
+    docs = tb.docs(spark, sf_dir, "lang")
     counts = (
         docs.select("lang", F.explode(tx.ws_tokens("text")).alias("token"))
         .groupBy("lang", "token")

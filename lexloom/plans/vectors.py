@@ -11,8 +11,8 @@ from lexloom.operators import encode as en
 from lexloom.operators import vectors as vo
 from lexloom.operators.frames import argmax_rows, rank_hits
 from lexloom.plans.registry import HASHED, REVIEWS, Registry, bucket, words
-from lexloom.session import spread
 from lexloom.sources import tables as tb
+from lexloom.sources.files import inline_table
 
 _R = Registry()
 QUERIES, ORACLES = _R.queries, _R.oracles
@@ -190,35 +190,42 @@ def similar_all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT key AS doc_id, b::INTEGER AS dim, round(x, 6) + 0.0 AS x FROM hashed"""
 )
 def hash_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = en.hash_encode(spread(tb.docs(spark, sf_dir), "doc_id"))
+    encoded = en.hash_encode(tb.docs(spark, sf_dir))
     return _long(encoded, ["doc_id"]).filter(F.col("x") != 0)
 
 
+# Label texts, a few common words of each language.
+LANGUAGE_LABELS = {
+    "de": "der die und nicht mit",
+    "en": "the and that of with",
+    "es": "el que los por con",
+    "fr": "le que les dans pour",
+}
+
+
 @_R.add(
     f"""WITH {REVIEWS},
+    label_texts(label, text) AS (VALUES {", ".join(f"('{k}', '{v}')" for k, v in LANGUAGE_LABELS.items())}),
     terms AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({words('lower(text)')}) AS term FROM documents) GROUP BY ALL),
-    item_terms AS (SELECT item_id, term, count(*) AS tf FROM (SELECT item_id, unnest({words('lower(text)')}) AS term FROM benchmark) GROUP BY ALL),
+    label_terms AS (SELECT label, term, count(*) AS tf FROM (SELECT label, unnest({words('lower(text)')}) AS term FROM label_texts) GROUP BY ALL),
     idf AS (SELECT term, ln(((SELECT count(*) FROM reviews WHERE split = 'train') + 1)::DOUBLE / (count(*) + 1)::DOUBLE) + 1 AS idf
             FROM terms JOIN reviews USING (doc_id) WHERE split = 'train' GROUP BY term),
     dw AS (SELECT doc_id, term, tf * idf AS w FROM terms JOIN idf USING (term)),
-    lw AS (SELECT item_id, term, tf * idf AS w FROM item_terms JOIN idf USING (term)),
-    sims AS (SELECT doc_id, item_id, sum(d.w * l.w) AS dot FROM dw d JOIN lw l USING (term) GROUP BY ALL),
+    lw AS (SELECT label, term, tf * idf AS w FROM label_terms JOIN idf USING (term)),
+    sims AS (SELECT doc_id, label, sum(d.w * l.w) AS dot FROM dw d JOIN lw l USING (term) GROUP BY ALL),
     dn AS (SELECT doc_id, sqrt(sum(w * w)) AS n FROM dw GROUP BY doc_id),
-    ln AS (SELECT item_id, sqrt(sum(w * w)) AS n FROM lw GROUP BY item_id),
-    cos AS (SELECT doc_id, item_id, round(dot / (dn.n * ln.n), 6) AS sim FROM sims JOIN dn USING (doc_id) JOIN ln USING (item_id))
-    SELECT doc_id, item_id, sim FROM cos QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY sim DESC, item_id) = 1"""
+    ln AS (SELECT label, sqrt(sum(w * w)) AS n FROM lw GROUP BY label)
+    SELECT doc_id, label, round(dot / (dn.n * ln.n), 6) AS sim FROM sims JOIN dn USING (doc_id) JOIN ln USING (label)"""
 )
 def tfidf_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For every document the benchmark text it is nearest to; weights come from the train split."""
-    docs = spread(tb.docs(spark, sf_dir), "doc_id")
+    """Every document against label texts of four languages; weights come from the train split."""
     train = tb.reviews(spark, sf_dir).filter(F.col("split") == "train").select("doc_id")
-    terms = en.term_counts(docs)
-    n_train = train.select(F.count(F.lit(1))).scalar()
-    idf = en.fit_idf(terms.join(train, "doc_id", "left_semi"), n_train)
-    items = en.term_counts(tb.read_table(spark, sf_dir, "benchmark"), key="item_id")
-    sims = en.tfidf_cosine(en.weigh_terms(terms, idf), en.weigh_terms(items, idf, key="item_id"))
-    rounded = sims.withColumn("sim", F.round("sim", 6))
-    return argmax_rows(rounded, ["doc_id"], "item_id", "sim")
+    terms = en.term_counts(tb.docs(spark, sf_dir))
+    idf = en.fit_idf(terms.join(train, "doc_id", "left_semi"), train.select(F.count(F.lit(1))).scalar())
+    texts = inline_table(spark, list(LANGUAGE_LABELS.items()), "label string, text string")
+    label_w = en.weigh_terms(en.term_counts(texts, key="label"), idf, key="label")
+    sims = en.tfidf_cosine(en.weigh_terms(terms, idf), label_w, label="label")
+    return sims.withColumn("sim", F.round("sim", 6))
 
 
 CONTEXTS = f"""tok AS (SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) - 1 AS pos
@@ -230,7 +237,7 @@ near AS (SELECT a.doc_id, a.pos, a.token, {bucket('b.token')} AS b,
 
 
 def _contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(tb.docs(spark, sf_dir), "doc_id").select(
+    docs = tb.docs(spark, sf_dir).select(
         "doc_id", ws_tokens(F.lower("text")).alias("tokens")
     )
     buckets = F.transform("tokens", lambda t: en.bucket_of(t).cast("int"))

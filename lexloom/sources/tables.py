@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions.vectors import softmax
 from lexloom.operators.sequences import ordered_positions
+from lexloom.session import spread
 
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
@@ -40,15 +41,15 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     return (
-        read_table(spark, sf_dir, "documents")
-        .select("doc_id", "text")
+        docs(spark, sf_dir)
         .join(labels, "doc_id")
         .withColumn("split", split_name())
     )
 
 
-def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+def docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The documents, over all cores: work per row is heavy and small files are one partition."""
+    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", *columns), "doc_id")
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
