@@ -13,6 +13,7 @@ from lexloom.functions.replies import parse_verdict
 from lexloom.functions.text import with_prefix
 from lexloom.functions.vectors import dot
 from lexloom.operators.encode import encode_literals
+from lexloom.operators.frames import unnest
 
 # The prompt put before a text, and the label texts of the two wordings.
 SENTIMENT_PROMPT = "Is the following sentence positive or negative? "
@@ -52,7 +53,7 @@ def zero_shot(
             ]
         )
         sets.append(F.struct(F.lit(name).alias("label_set"), sims.alias("sims")))
-    scored = encoded.select(key, F.explode(F.array(*sets)).alias("s"))
+    scored = unnest(encoded, F.array(*sets), key, name="s")
     return scored.select(
         F.col("s.label_set").alias("label_set"),
         key,

@@ -6,9 +6,10 @@ from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from lexloom.functions.text import ws_tokens
-from lexloom.operators.frames import salted_join
+from lexloom.operators.frames import salted_join, unnest
 
 
 def bucket_of(token: Column, dims: int = 64) -> Column:
@@ -48,7 +49,7 @@ def encode_literals(spark: SparkSession, texts: list[str], dims: int = 64) -> li
 def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, term, tf)`` over the lower-cased tokens."""
     return (
-        docs.select(key, F.explode(ws_tokens(F.lower(text))).alias("term"))
+        unnest(docs, ws_tokens(F.lower(text)), key, name="term")
         .groupBy(key, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -76,18 +77,25 @@ def tfidf_cosine(
 ) -> DataFrame:
     """``(key, label, sim)`` for the document and label pairs that share a term.
 
-    Both sides are in long form and meet on the term. The labels are few, so a document term
-    meets at most that many label terms; the document norm is aggregated apart.
+    ``labels_w`` is short: its terms are packed into one row per term, so a document term meets
+    one row. Norm and dot products come out of the same pass over the document terms.
     """
-    doc_norm = docs_w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm_d"))
-    label_norm = labels_w.groupBy(label).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm_l"))
-    dots = (
-        docs_w.join(labels_w.select(label, "term", F.col("w").alias("wl")), "term")
-        .groupBy(key, label)
-        .agg(F.sum(F.col("w") * F.col("wl")).alias("dot"))
+    norm = W.partitionBy(label)
+    scaled = labels_w.withColumn("wl", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(norm)))
+    by_term = scaled.groupBy("term").agg(F.collect_list(F.struct(label, "wl")).alias("labels"))
+    nobody = F.lit(None).cast(labels_w.schema[label].dataType)
+    own = F.array(F.struct(nobody.alias(label), (F.col("w") * F.col("w")).alias("x")))
+    shared = F.transform(
+        "labels", lambda m: F.struct(m[label].alias(label), (F.col("w") * m["wl"]).alias("x"))
     )
+    parts = docs_w.join(by_term, "term", "left").select(
+        key, F.inline(F.when(F.col("labels").isNull(), own).otherwise(F.concat(own, shared)))
+    )
+    sums = parts.groupBy(key, label).agg(F.sum("x").alias("x"))
+    # at most one row per label, and one for the norm
+    square = F.max(F.when(F.col(label).isNull(), F.col("x"))).over(W.partitionBy(key))
     return (
-        dots.join(doc_norm, key)
-        .join(label_norm, label)
-        .select(key, label, (F.col("dot") / (F.col("norm_d") * F.col("norm_l"))).alias("sim"))
+        sums.withColumn("square", square)
+        .filter(F.col(label).isNotNull())
+        .select(key, label, (F.col("x") / F.sqrt("square")).alias("sim"))
     )

@@ -9,6 +9,19 @@ from pyspark.sql import Window as W
 from lexloom.functions.text import pad_left, pad_right
 
 
+def unnest(
+    df: DataFrame, array: Column | str, *keep: str, name: str = "token", pos: str | None = None
+) -> DataFrame:
+    """One row per array element with the columns ``keep`` (and its 0-based ``pos``).
+
+    The outer form is used on purpose: for the plain one Spark puts a "not empty" filter in
+    front, which would work out the array a second time, before any repartitioning.
+    """
+    if pos is None:
+        return df.select(*keep, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
+    return df.select(*keep, F.posexplode_outer(array).alias(pos, name)).filter(F.col(pos).isNotNull())
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, key: str, by: str, how: str = "inner", salts: int = 8
 ) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions.text import ws_tokens
+from lexloom.operators.frames import unnest
 from lexloom.operators.tokens import token_counts
 from lexloom.session import cut_lineage
 
@@ -33,7 +34,7 @@ def pair_counts(words: DataFrame) -> DataFrame:
         lambda a, b: F.struct(a.alias("left"), b.alias("right")),
     )
     return (
-        words.select(F.explode(pairs).alias("p"), "n")
+        unnest(words, pairs, "n", name="p")
         .groupBy("p.left", "p.right")
         .agg(F.sum("n").alias("n"))
     )
@@ -51,11 +52,13 @@ def learn_subwords(
 
     The loop runs over the table of distinct words, never over the texts. Pairs are counted
     whole once; after a merge only the words that hold the merged pair are taken apart again,
-    and the difference corrects the counts. The driver receives one pair per round.
+    and the difference corrects the counts. The driver receives one pair per round. Both
+    tables are cut from their history every ``checkpoint_every`` rounds.
     """
     words = cut_lineage(word_table(docs, text))
     counts = cut_lineage(pair_counts(words))
     merges: list[tuple[str, str, int]] = []
+    held_back: list[DataFrame] = []
     for step in range(1, n_merges + 1):
         best = counts.orderBy(F.desc("n"), "left", "right").limit(1).collect()
         if not best:
@@ -71,12 +74,15 @@ def learn_subwords(
             F.struct(merged.alias("symbols"), F.col("n")),
         )
         difference = pair_counts(held.select(F.inline(change)))
-        counts = cut_lineage(
-            counts.unionByName(difference).groupBy("left", "right").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
-        )
+        corrected = counts.unionByName(difference).groupBy("left", "right").agg(F.sum("n").alias("n"))
+        previous, counts = counts, corrected.filter(F.col("n") > 0).persist()
+        held_back.append(previous)
         words = words.withColumn("symbols", merged)
         if step % checkpoint_every == 0:
-            words = cut_lineage(words)
+            words, counts = cut_lineage(words), cut_lineage(counts)
+            while held_back:
+                held_back.pop().unpersist()
+    counts.unpersist()
     return merges
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from lexloom.functions.text import LEADING_SPACE_MARK, char_tokens, letter_tokens, ws_tokens
-from lexloom.operators.frames import salted_join
+from lexloom.operators.frames import salted_join, unnest
 
 # Special tokens; their IDs are 0 to 3 in this order.
 SPECIALS = ["[PAD]", "[UNK]", "[CLS]", "[SEP]"]
@@ -19,9 +19,7 @@ MAX_BROADCAST_VOCAB = 200_000
 
 def token_counts(docs: DataFrame, tokens: Column) -> DataFrame:
     """``(token, n)`` over all texts; counted inside each task before the shuffle."""
-    return docs.select(F.explode(tokens).alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    return unnest(docs, tokens).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def build_vocab(
@@ -59,7 +57,7 @@ def encode(
     ``vocab_size`` is the ``size`` given to :func:`build_vocab`, so it bounds the broadcast.
     The tokens of one text are collected again; a group is never larger than one input row.
     """
-    words = docs.select(key, F.posexplode(ws_tokens(text)).alias("pos", "token"))
+    words = unnest(docs, ws_tokens(text), key, pos="pos")
     ids = _lookup(words, vocab.select("token", "id"), "token", "pos", vocab_size)
     body = ids.groupBy(key).agg(
         F.sort_array(
@@ -89,7 +87,7 @@ def decode(
 
     With ``skip_special`` padding, class and separator tokens are left out; unknown stays.
     """
-    rows = encoded.select(key, F.posexplode("ids").alias("pos", "id"))
+    rows = unnest(encoded, "ids", key, name="id", pos="pos")
     if skip_special:
         hidden = F.col("id").isin(PAD_ID, CLS_ID, SEP_ID)
         rows = rows.withColumn("_shown", ~hidden)
@@ -122,7 +120,7 @@ def attention_mask(ids: Column | str, pad_id: int = PAD_ID) -> Column:
 
 def token_breakdown(docs: DataFrame, tokens: Column, key: str = "doc_id") -> DataFrame:
     """One row per token with its 0-based position."""
-    return docs.select(key, F.posexplode(tokens).alias("pos", "token"))
+    return unnest(docs, tokens, key, pos="pos")
 
 
 def find_token(docs: DataFrame, tokens: Column, words: list[str], key: str = "doc_id") -> DataFrame:
@@ -137,7 +135,7 @@ def find_token(docs: DataFrame, tokens: Column, words: list[str], key: str = "do
     )
     bare = F.regexp_replace("s.token", "^" + LEADING_SPACE_MARK, "")
     word = F.when(F.col("s.token").isin(words), F.col("s.token")).otherwise(bare)
-    return docs.select(key, F.explode(found).alias("s")).select(
+    return unnest(docs, found, key, name="s").select(
         key, F.col("s.pos").alias("pos"), word.alias("word")
     )
 
@@ -164,8 +162,7 @@ def tokenizer_report(
         *[F.struct(F.lit(name).alias("variant"), tokens.alias("tokens")) for name, tokens in columns.items()]
     )
     counts = (
-        docs.select(F.explode(tagged).alias("v"))
-        .select(F.col("v.variant").alias("variant"), F.explode("v.tokens").alias("token"))
+        unnest(unnest(docs, tagged, name="v").select("v.*"), "tokens", "variant")
         .groupBy("variant", "token")
         .agg(F.count(F.lit(1)).alias("n"))
     )

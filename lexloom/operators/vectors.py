@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexloom.functions.vectors import as_doubles, cosine, dot, unit
-from lexloom.operators.frames import rank_hits
+from lexloom.operators.frames import rank_hits, unnest
 
 # Vectors of the small side that are held in one block on the driver and in each Python worker.
 BLOCK_VECTORS = 4096
@@ -305,9 +305,7 @@ def context_vectors(docs: DataFrame, buckets: str, radius: int, key: str = "doc_
             ).alias("near"),
         ),
     )
-    at = docs.select(key, F.explode(spans).alias("s")).select(
-        key, F.col("s.pos").alias("pos"), F.col("s.token").alias("token"), F.col("s.near").alias("near")
-    )
+    at = unnest(docs, spans, key, name="s").select(key, "s.*")
     return _spread_mass(at, [key, "pos", "token"])
 
 
@@ -320,9 +318,7 @@ def _spread_mass(at: DataFrame, keys: list[str]) -> DataFrame:
             (F.size(F.filter("near", lambda o: o == b)) / F.size("near")).alias("x"),
         ),
     )
-    return at.select(*keys, F.explode(shares).alias("c")).select(
-        *keys, F.col("c.bucket").alias("bucket"), F.col("c.x").alias("x")
-    )
+    return unnest(at, shares, *keys, name="c").select(*keys, "c.*")
 
 
 def mean_context(contexts: DataFrame, key: str = "doc_id", token: str = "token") -> DataFrame:

@@ -9,7 +9,7 @@ from lexloom.functions import text as tx
 from lexloom.operators import ngrams as ng
 from lexloom.operators import subwords as sw
 from lexloom.operators import tokens as tk
-from lexloom.operators.frames import softmax_over
+from lexloom.operators.frames import softmax_over, unnest
 from lexloom.plans.registry import Registry, words
 from lexloom.session import cut_lineage
 from lexloom.sources import tables as tb
@@ -132,7 +132,7 @@ def token_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def token_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct piece between two spaces, with its newlines made visible."""
-    pieces = tb.docs(spark, sf_dir).select(F.explode(tx.split_fields("text", " ")).alias("token")).distinct()
+    pieces = unnest(tb.docs(spark, sf_dir), tx.split_fields("text", " ")).distinct()
     return pieces.select("token", tx.show_token("token").alias("shown"))
 
 
@@ -282,7 +282,7 @@ def softmax_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Softmax of ln(count) over the tokens of each language: the token's share."""
     docs = tb.docs(spark, sf_dir, "lang")
     counts = (
-        docs.select("lang", F.explode(tx.ws_tokens("text")).alias("token"))
+        unnest(docs, tx.ws_tokens("text"), "lang")
         .groupBy("lang", "token")
         .agg(F.log(F.count(F.lit(1)).cast("double")).alias("score"))
     )

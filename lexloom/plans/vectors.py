@@ -9,8 +9,9 @@ from lexloom.functions import vectors as vc
 from lexloom.functions.text import ws_tokens
 from lexloom.operators import encode as en
 from lexloom.operators import vectors as vo
-from lexloom.operators.frames import argmax_rows, rank_hits
+from lexloom.operators.frames import argmax_rows, rank_hits, unnest
 from lexloom.plans.registry import HASHED, REVIEWS, Registry, bucket, words
+from lexloom.session import cut_lineage
 from lexloom.sources import tables as tb
 from lexloom.sources.files import inline_table
 
@@ -26,7 +27,7 @@ FIRSTS = "firsts AS (SELECT min(key) AS query FROM vecs GROUP BY label)"
 
 def _long(df: DataFrame, keys: list[str], vec: str = "vec") -> DataFrame:
     """One row per dimension, rounded for comparison."""
-    rows = df.select(*keys, F.posexplode(vc.as_doubles(vec)).alias("dim", "x"))
+    rows = unnest(df, vc.as_doubles(vec), *keys, name="x", pos="dim")
     return rows.select(*keys, "dim", (F.round("x", 6) + 0.0).alias("x"))
 
 
@@ -110,7 +111,7 @@ def argmax_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     WINDOW w AS (PARTITION BY key ORDER BY x DESC, d) QUALIFY row_number() OVER w <= 5"""
 )
 def topk_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = tb.vectors(spark, sf_dir).select("key", F.posexplode(vc.topk("vec", 5)).alias("at", "s"))
+    best = unnest(tb.vectors(spark, sf_dir), vc.topk("vec", 5), "key", name="s", pos="at")
     return best.select(
         "key",
         (F.col("at") + 1).alias("rank"),
@@ -221,7 +222,10 @@ def tfidf_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against label texts of four languages; weights come from the train split."""
     train = tb.reviews(spark, sf_dir).filter(F.col("split") == "train").select("doc_id")
     terms = en.term_counts(tb.docs(spark, sf_dir))
-    idf = en.fit_idf(terms.join(train, "doc_id", "left_semi"), train.select(F.count(F.lit(1))).scalar())
+    # the frozen encoder: fitted once, written once, used for both sides
+    idf = cut_lineage(
+        en.fit_idf(terms.join(train, "doc_id", "left_semi"), train.select(F.count(F.lit(1))).scalar())
+    )
     texts = inline_table(spark, list(LANGUAGE_LABELS.items()), "label string, text string")
     label_w = en.weigh_terms(en.term_counts(texts, key="label"), idf, key="label")
     sims = en.tfidf_cosine(en.weigh_terms(terms, idf), label_w, label="label")

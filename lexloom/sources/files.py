@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexloom.functions.text import ws_tokens
+from lexloom.operators.frames import unnest
 
 CATALOG_SCHEMA = "id string, title string, artist string"
 VECTOR_SCHEMA = "key string, vec array<float>"
@@ -18,7 +19,7 @@ def sequences_from_text(df: DataFrame, source: str, text: str, skip: int = 2) ->
     Result: ``(source, line_no, items)`` with 0-based line numbers counted over all lines.
     Lines stay where their text is read, so nothing is shuffled.
     """
-    lines = df.select(source, F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
+    lines = unnest(df, F.split(text, "\n", -1), source, name="line", pos="line_no")
     return lines.filter(F.col("line_no") >= skip).select(
         source, "line_no", ws_tokens("line").alias("items")
     )
