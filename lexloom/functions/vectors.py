@@ -17,6 +17,11 @@ def as_doubles(vec: Column | str) -> Column:
     return _col(vec).cast("array<double>")
 
 
+def literal_vector(values: list[float]) -> Column:
+    """A constant vector; one literal that Spark folds, instead of one per value."""
+    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
+
+
 def dot(a: Column | str, b: Column | str) -> Column:
     """Dot product; null when the lengths differ."""
     products = F.zip_with(as_doubles(a), as_doubles(b), lambda x, y: x * y)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions.replies import parse_verdict
 from lexloom.functions.text import with_prefix
-from lexloom.functions.vectors import dot
+from lexloom.functions.vectors import dot, literal_vector
 from lexloom.operators.encode import encode_literals
 from lexloom.operators.frames import unnest
 
@@ -43,15 +43,11 @@ def zero_shot(
     literals of the plan, so all sets are scored in the row that holds the document: one pass,
     no join, no shuffle. Similarities are rounded before ranking; the first label wins ties.
     """
-    spark = encoded.sparkSession
+    texts = [text for names in label_sets.values() for text in names]
+    vectors = iter(encode_literals(encoded.sparkSession, texts, dims))
     sets = []
-    for name, texts in label_sets.items():
-        sims = F.array(
-            *[
-                F.round(dot(vec, F.array(*map(F.lit, v))), digits)
-                for v in encode_literals(spark, texts, dims)
-            ]
-        )
+    for name, names in label_sets.items():
+        sims = F.array(*[F.round(dot(vec, literal_vector(next(vectors))), digits) for _ in names])
         sets.append(F.struct(F.lit(name).alias("label_set"), sims.alias("sims")))
     scored = unnest(encoded, F.array(*sets), key, name="s")
     return scored.select(

@@ -42,8 +42,8 @@ def hash_encode(docs: DataFrame, dims: int = 64, text: str = "text", out: str =
 
 def encode_literals(spark: SparkSession, texts: list[str], dims: int = 64) -> list[list[float]]:
     """Vectors of a few literal texts, by the same encoder as the documents."""
-    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
-    return [r["vec"] for r in hash_encode(rows, dims).orderBy("i").collect()]
+    rows = spark.range(1).select(F.posexplode(F.lit(texts)).alias("i", "text"))
+    return [row["vec"] for row in sorted(hash_encode(rows, dims).collect(), key=lambda r: r["i"])]
 
 
 def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

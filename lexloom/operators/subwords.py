@@ -27,14 +27,12 @@ def word_table(docs: DataFrame, text: str = "text", tokens: Column | None = None
 
 def pair_counts(words: DataFrame) -> DataFrame:
     """``(left, right, n)``: how often two symbols stand next to each other, over all words."""
-    symbols = F.split(F.trim("symbols"), "  ")
-    pairs = F.zip_with(
-        F.slice(symbols, F.lit(1), F.greatest(F.size(symbols) - 1, F.lit(0))),
-        F.slice(symbols, F.lit(2), F.size(symbols)),
-        lambda a, b: F.struct(a.alias("left"), b.alias("right")),
-    )
+    apart = words.select("n", F.split(F.trim("symbols"), "  ").alias("s"))
+    # the last symbol is paired with null
+    pairs = F.arrays_zip(F.col("s").alias("left"), F.slice("s", F.lit(2), F.size("s")).alias("right"))
     return (
-        unnest(words, pairs, "n", name="p")
+        unnest(apart, pairs, "n", name="p")
+        .filter(F.col("p.right").isNotNull())
         .groupBy("p.left", "p.right")
         .agg(F.sum("n").alias("n"))
     )

@@ -57,21 +57,15 @@ def encode(
     ``vocab_size`` is the ``size`` given to :func:`build_vocab`, so it bounds the broadcast.
     The tokens of one text are collected again; a group is never larger than one input row.
     """
-    words = unnest(docs, ws_tokens(text), key, pos="pos")
+    # a text without tokens stays as one row without a position: it gets the two special tokens
+    words = docs.select(key, F.posexplode_outer(ws_tokens(text)).alias("pos", "token"))
     ids = _lookup(words, vocab.select("token", "id"), "token", "pos", vocab_size)
-    body = ids.groupBy(key).agg(
-        F.sort_array(
-            F.collect_list(F.struct("pos", F.coalesce("id", F.lit(UNK_ID)).alias("id")))
-        ).alias("_body")
-    )
-    # texts without any token still get their two special tokens
-    empty = docs.filter(F.coalesce(F.size(ws_tokens(text)), F.lit(0)) < 1).select(
-        key, F.array(F.lit(CLS_ID), F.lit(SEP_ID)).alias("ids")
-    )
+    entry = F.struct("pos", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
+    body = F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), entry)))
     ids_of = F.concat(
-        F.array(F.lit(CLS_ID)), F.transform("_body", lambda s: s["id"]), F.array(F.lit(SEP_ID))
+        F.array(F.lit(CLS_ID)), F.transform(body, lambda s: s["id"]), F.array(F.lit(SEP_ID))
     )
-    return body.select(key, ids_of.alias("ids")).unionByName(empty)
+    return ids.groupBy(key).agg(ids_of.alias("ids"))
 
 
 def lookup_tokens(rows: DataFrame, vocab: DataFrame, vocab_size: int, by: str = "pos") -> DataFrame:

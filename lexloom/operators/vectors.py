@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexloom.functions.vectors import as_doubles, cosine, dot, unit
+from lexloom.functions.vectors import as_doubles, cosine, dot, literal_vector, unit
 from lexloom.operators.frames import rank_hits, unnest
 
 # Vectors of the small side that are held in one block on the driver and in each Python worker.
@@ -251,7 +251,7 @@ def probed_pairs(
     """``(query, key, _q, _vec)``: the candidates that the probed cells hold for each query."""
     centers = F.array(
         *[
-            F.struct(F.lit(i).alias("cell"), F.array(*map(F.lit, map(float, c))).alias("center"))
+            F.struct(F.lit(i).alias("cell"), literal_vector(c).alias("center"))
             for i, c in enumerate(model.clusterCenters())
         ]
     )
