@@ -28,13 +28,23 @@ def salted_join(
     """Join ``left`` to a ``right`` whose keys are unique, one key's rows on ``salts`` tasks.
 
     For a left side in which one key may hold a large share of the rows: its rows are divided
-    by a hash of column ``by``, and every right row is repeated once per salt.
+    by a hash of column ``by``, and every right row is repeated once per salt. While Spark
+    estimates the right side below its broadcast threshold the left side is not shuffled at
+    all, so nothing is repeated.
     """
+    if _below_broadcast_threshold(right):
+        return left.join(right, key, how)
     salt = F.pmod(F.xxhash64(by), F.lit(salts))
     repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
     return left.withColumn("_salt", salt).join(repeated, [key, "_salt"], how).drop("_salt")
 
 
+def _below_broadcast_threshold(df: DataFrame) -> bool:
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(estimate)) <= threshold
+
+
 def preview(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
     """The first ``n`` rows in an explicit order."""
     return df.orderBy(*order).limit(n)

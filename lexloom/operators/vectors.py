@@ -48,10 +48,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def _blocks(small: DataFrame, key: str, vec: str) -> Iterator[tuple[list, np.ndarray]]:
     """The small side in blocks of bounded size, one after the other through the driver."""
     picked = small.select(key, as_doubles(vec).alias(vec))
-    n_blocks = -(-picked.count() // BLOCK_VECTORS)
-    for b in range(n_blocks):
-        part = picked if n_blocks == 1 else picked.filter(F.pmod(F.xxhash64(key), F.lit(n_blocks)) == b)
-        rows = part.orderBy(key).collect()
+    first = picked.limit(BLOCK_VECTORS + 1).collect()
+    if len(first) <= BLOCK_VECTORS:
+        blocks = iter([first])
+    else:
+        n_blocks = -(-picked.count() // BLOCK_VECTORS)
+        home = F.pmod(F.xxhash64(key), F.lit(n_blocks))
+        blocks = (picked.filter(home == b).collect() for b in range(n_blocks))
+    for rows in blocks:
         if rows:
             yield [r[0] for r in rows], _unit_rows(np.array([r[1] for r in rows], dtype=np.float64))
 

@@ -31,7 +31,8 @@ def test_vocab_size_and_min_count(docs):
 
 
 @pytest.mark.parametrize("size", [10, tk.MAX_BROADCAST_VOCAB + 1])
-def test_encode_decode_round_trip(docs, vocab, size):
+def test_encode_decode_round_trip(docs, vocab, size, monkeypatch):
+    monkeypatch.setattr("lexloom.operators.frames._below_broadcast_threshold", lambda df: False)
     encoded = tk.encode(docs, vocab, size).cache()
     ids = {r["doc_id"]: r["ids"] for r in encoded.collect()}
     assert ids[0] == [2, 4, 8, 3] and ids[2] == [2, 3] and ids[4] == [2, 3]
