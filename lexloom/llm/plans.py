@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexloom.llm.chunking import remove_chunks
 from lexloom.llm.minhash import Sketch, near_duplicates
+from lexloom.llm.suffix_dedup import remove_repeats
 from lexloom.plans.registry import Registry
 from lexloom.sources.tables import read_table
 
@@ -41,3 +43,32 @@ WORD = r"[^\x20\x09-\x0D]+"
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents over two-word shingles."""
     return near_duplicates(read_table(spark, sf_dir, "documents"), Sketch(shingle=2))
+
+
+@_R.add(
+    """WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    windows AS (SELECT doc_id, p, substring(h, 2 * p + 1, 100) AS s
+                FROM (SELECT doc_id, h, unnest(range(length(h) // 2 - 49)) AS p FROM bytes WHERE length(h) >= 100)),
+    firsts AS (SELECT hash(s) AS k, md5(s) AS m, min(doc_id) AS f, max(doc_id) AS l FROM windows GROUP BY k, m),
+    bad AS (SELECT w.doc_id, w.p FROM windows w JOIN firsts x ON x.k = hash(w.s) AND x.m = md5(w.s) WHERE x.f < w.doc_id),
+    steps AS (SELECT doc_id, p, p - coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p), -1000) > 50 AS fresh FROM bad),
+    runs AS (SELECT doc_id, p, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY p) AS r FROM steps),
+    spans AS (SELECT doc_id, r, min(p) AS a, max(p) + 50 AS b FROM runs GROUP BY doc_id, r),
+    gaps AS (SELECT doc_id, r, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM spans),
+    cut AS (SELECT g.doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+                   string_agg(substring(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS head
+            FROM gaps g JOIN bytes USING (doc_id) GROUP BY g.doc_id)
+    SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+           coalesce(n_spans, 0)::BIGINT AS n_spans,
+           sha256(unhex(coalesce(head || substring(h, 2 * last + 1), h))) AS kept_sha256
+    FROM bytes LEFT JOIN cut USING (doc_id)"""
+)
+def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without its 50-byte strings that earlier documents have."""
+    return remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept_bytes")
+
+
+@_R.add()
+def op9_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without the content-defined chunks that stand earlier."""
+    return remove_chunks(read_table(spark, sf_dir, "documents")).drop("kept_bytes")
