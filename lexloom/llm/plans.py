@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.llm.chunking import remove_chunks
+from lexloom.llm.hmm import hmm_scores
 from lexloom.llm.minhash import Sketch, near_duplicates
+from lexloom.llm.perplexity import quality_rules
 from lexloom.llm.suffix_dedup import remove_repeats
 from lexloom.plans.registry import Registry
 from lexloom.sources.tables import read_table
@@ -72,3 +74,21 @@ def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without the content-defined chunks that stand earlier."""
     return remove_chunks(read_table(spark, sf_dir, "documents")).drop("kept_bytes")
+
+
+@_R.add()
+def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text statistics and the verdict of the language's perplexity band, for all documents."""
+    return quality_rules(read_table(spark, sf_dir, "documents"))
+
+
+def fold(modulus: int, of: str = "doc_id") -> Column:
+    """crc32 of the id as text, by the modulus."""
+    return F.pmod(F.crc32(F.col(of).cast("string").cast("binary")), F.lit(modulus))
+
+
+@_R.add()
+def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hidden Markov and smoothed unigram scores of all documents; a seventh of them is held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    return hmm_scores(docs.withColumn("held_out", fold(7) == 2))
