@@ -7,7 +7,8 @@ one contiguous slice of the second permutation.
 At scale: equal shingle sets are one class before any banding, so copies cost one row each. Buckets and
 representatives are aggregated per task first; a member meets its bucket's representative in a salted join.
 Members of a bucket that already share a component are never paired again, which is what keeps a large
-group of near copies linear; the pairs that stay open after the representative rounds are all compared.
+group of near copies near linear; the pairs that stay open after the representative rounds are all compared,
+but for those whose own shingles (that no other candidate has) rule the similarity out.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.arrays import LOWER, combine, mix, per_row, pieces, prefix_hash, run_lengths, span_hash, utf8, word_spans
+from lexloom.llm.arrays import LOWER, as_lists, combine, mix, per_row, pieces, prefix_hash, run_lengths, span_hash, utf8, word_spans
 from lexloom.llm.components import connected_components
 from lexloom.session import cut_lineage
 
@@ -133,31 +134,29 @@ def _set_writer(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
             h, at = shingle_sets(*utf8(piece.column("text")), width)
-            sets = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((8 * at).astype(np.int32)), pa.py_buffer(h)])
-            yield pa.record_batch([piece.column("doc_id"), sets], names=["node", "set"])
+            yield pa.record_batch([piece.column("doc_id"), as_lists(h.view(np.int64), at, pa.int64())], names=["node", "set"])
 
     return run
 
 
-def _overlap(num: int):
+def _overlap(num: int, step: int = 512):
     """Keeps the pairs whose sets, compared in full, reach the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "set_a", "set_b"):
-            sides, rows = [], []
-            for side in ("set_a", "set_b"):
-                raw, at = utf8(piece.column(side))
-                sides.append(np.frombuffer(raw.tobytes(), np.uint64))
-                rows.append(np.repeat(np.arange(len(at) - 1), np.diff(at) // 8))
-            n = piece.num_rows
-            size = np.bincount(rows[0], minlength=n) + np.bincount(rows[1], minlength=n)
-            h, row = np.concatenate(sides), np.concatenate(rows)
-            order = np.lexsort((h, row))
-            h, row = h[order], row[order]
-            same = (h[1:] == h[:-1]) & (row[1:] == row[:-1])
-            both = np.bincount(row[1:][same], minlength=n)
-            linked = 100 * both >= num * (size - both)
-            yield piece.select(["a", "b"]).filter(pa.array(linked))
+        for batch in batches:
+            for lo in range(0, batch.num_rows, step):
+                piece = batch.slice(lo, step)
+                n, sides, rows = piece.num_rows, [], []
+                for side in ("set_a", "set_b"):
+                    sides.append(piece.column(side).flatten().to_numpy())
+                    rows.append(np.repeat(np.arange(n), piece.column(side).value_lengths().to_numpy()))
+                size = np.bincount(rows[0], minlength=n) + np.bincount(rows[1], minlength=n)
+                h, row = np.concatenate(sides), np.concatenate(rows)
+                order = np.lexsort((h, row))
+                h, row = h[order], row[order]
+                same = (h[1:] == h[:-1]) & (row[1:] == row[:-1])
+                both = np.bincount(row[1:][same], minlength=n)
+                yield piece.select(["a", "b"]).filter(pa.array(100 * both >= num * (size - both)))
 
     return run
 
@@ -173,47 +172,58 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def class_components(classes: DataFrame, docs: DataFrame, spec: Sketch, rounds: int = 4) -> DataFrame:
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """``(node, own)``: how many of its shingles no other candidate has."""
+    shingles = sets.select("node", F.explode("set").alias("h"))
+    alone = shingles.groupBy("h").agg(F.min("node").alias("node"), F.max("node").alias("other")).where("node = other")
+    return alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _within_reach(num: int) -> str:
+    """What two sets can share at most, as neither shares its own shingles, still reaches the similarity."""
+    most = "least(n_shingles - own, other_n - other_own)"
+    return f"100 * {most} >= {num} * (n_shingles + other_n - {most})"
+
+
+def class_components(classes: DataFrame, docs: DataFrame, spec: Sketch, rounds: int = 5) -> DataFrame:
     """``(node, component)`` of the linked classes; ``classes`` has ``(node, n_shingles, keys)``."""
     seen = classes.select("node", "n_shingles", F.explode("keys").alias("bucket"))
     shared = seen.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    spread_buckets = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    members = cut_lineage(
-        seen.withColumn("salt", F.pmod(F.hash("node"), F.lit(SALTS))).join(spread_buckets, ["bucket", "salt"]).select("bucket", "node", "n_shingles")
-    )
-    wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    sets = cut_lineage(
-        docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(_set_writer(spec.shingle), "node bigint, set binary")
-    )
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salt = F.pmod(F.hash("node"), F.lit(SALTS))
+    first = cut_lineage(seen.withColumn("salt", salt).join(shared.withColumn("salt", salts), ["bucket", "salt"]).select("bucket", "node", "n_shingles"))
+    wanted = first.select(F.col("node").alias("doc_id")).distinct()
+    sets = cut_lineage(docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(_set_writer(spec.shingle), "node bigint, set array<bigint>"))
+    own = cut_lineage(_own_shingles(sets))
+    members = first.join(own, "node", "left").na.fill(0, ["own"]).where(f"100 * (n_shingles - own) >= {spec.num} * n_shingles")
+    members = cut_lineage(members)
     links = tested = labels = None
     turn, last, n_members = 0, False, members.count()
     while not last:
         now = members.withColumn("component", F.col("node"))
         if labels is not None:
             now = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        # a bucket's representative comes from the component that most of its members have
         luck = F.xxhash64(F.col("node"), F.lit(turn)) if turn else F.col("node")
-        rep = F.min(F.struct(luck.alias("luck"), F.struct("node", "component", "n_shingles").alias("rep")))
-        open_buckets = cut_lineage(
-            now.groupBy("bucket")
-            .agg(rep.getField("rep").alias("rep"), F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
-            .where("low < high")
-            .select("bucket", "rep", "n")
-        )
-        work = open_buckets.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0] or 0.0
-        last = turn == rounds or work <= 4 * n_members
-        salted = open_buckets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        still = now.withColumn("salt", F.pmod(F.hash("node"), F.lit(SALTS))).join(salted, ["bucket", "salt"])
+        member = F.struct(luck.alias("luck"), F.col("node").alias("rep"), F.col("n_shingles").alias("other_n"), F.col("own").alias("other_own"))
+        parts = now.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.min(member).alias("member"))
+        top = F.min(F.struct((-F.col("n")).alias("size"), "member", "component"))
+        open_buckets = parts.groupBy("bucket").agg(top.alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+        open_buckets = cut_lineage(open_buckets.select("bucket", "n", F.col("top.component").alias("main"), "top.size", "top.member.*"))
+        work = open_buckets.agg(F.sum((F.col("n") + F.col("size")).cast("double") * F.col("n"))).first()[0] or 0.0
+        last = turn == rounds or work <= 2 * n_members
+        still = now.withColumn("salt", salt).join(open_buckets.withColumn("salt", salts), ["bucket", "salt"])
         if last:
             # every pair that is still open: this makes the result whole whatever the rounds have found
-            one = still.select("bucket", F.col("node").alias("x"), "n_shingles", F.col("component").alias("c"))
-            two = still.select("bucket", F.col("node").alias("y"), F.col("n_shingles").alias("other"), F.col("component").alias("d"))
-            near = one.join(two, "bucket").where("x < y and c <> d")
-        else:
-            near = still.where("component <> rep.component").select(
-                F.col("node").alias("x"), F.col("rep.node").alias("y"), "n_shingles", F.col("rep.n_shingles").alias("other")
+            one = still.select("bucket", F.col("node").alias("x"), "n_shingles", "own", F.col("component").alias("c"))
+            two = still.where("component <> main").select(
+                "bucket", F.col("node").alias("y"), F.col("n_shingles").alias("other_n"), F.col("own").alias("other_own"), F.col("component").alias("d"), "main"
             )
-        near = near.where(f"100 * least(n_shingles, other) >= {spec.num} * greatest(n_shingles, other)")
-        pairs = _ordered(near)
+            # each pair of components once: those outside the main one meet it and each other
+            meet = one.join(two, "bucket").where(F.expr(f"c <> d and (c = main or x < y) and {_within_reach(spec.num)}"))
+            pairs = _ordered(meet)
+        else:
+            pairs = _ordered(still.where(f"component <> main and {_within_reach(spec.num)}").select(F.col("node").alias("x"), F.col("rep").alias("y")))
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut_lineage(pairs)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.llm.chunking import remove_chunks
+from lexloom.llm.decontaminate import find_leaks
 from lexloom.llm.hmm import hmm_scores
 from lexloom.llm.minhash import Sketch, near_duplicates
 from lexloom.llm.perplexity import quality_rules
@@ -92,3 +93,11 @@ def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hidden Markov and smoothed unigram scores of all documents; a seventh of them is held out."""
     docs = read_table(spark, sf_dir, "documents")
     return hmm_scores(docs.withColumn("held_out", fold(7) == 2))
+
+
+@_R.add()
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that each document has a passage of, up to one edit in 16 bytes."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), "item_ids")
