@@ -24,12 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.arrays import LOWER, as_lists, combine, mix, per_row, pieces, prefix_hash, run_lengths, span_hash, utf8, word_spans
-from lexloom.llm.components import connected_components
+from lexloom.llm.links import every_salt, linked_components, salt_of, shared_buckets
 from lexloom.session import cut_lineage
 
-SALTS = 16
-
-
 @dataclass(frozen=True)
 class Sketch:
     """Shape of the signature. 40 bands of 5 rows miss a pair of similarity 0.8 once in ten million."""
@@ -168,10 +165,6 @@ def _confirm(pairs: DataFrame, sets: DataFrame, num: int) -> DataFrame:
     return joined.mapInArrow(_overlap(num), "a bigint, b bigint").distinct()
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
 def _own_shingles(sets: DataFrame) -> DataFrame:
     """``(node, own)``: how many of its shingles no other candidate has."""
     shingles = sets.select("node", F.explode("set").alias("h"))
@@ -179,63 +172,18 @@ def _own_shingles(sets: DataFrame) -> DataFrame:
     return alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
 
 
-def _within_reach(num: int) -> str:
-    """What two sets can share at most, as neither shares its own shingles, still reaches the similarity."""
-    most = "least(n_shingles - own, other_n - other_own)"
-    return f"100 * {most} >= {num} * (n_shingles + other_n - {most})"
-
-
-def class_components(classes: DataFrame, docs: DataFrame, spec: Sketch, rounds: int = 5) -> DataFrame:
+def class_components(classes: DataFrame, docs: DataFrame, spec: Sketch) -> DataFrame:
     """``(node, component)`` of the linked classes; ``classes`` has ``(node, n_shingles, keys)``."""
-    seen = classes.select("node", "n_shingles", F.explode("keys").alias("bucket"))
-    shared = seen.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salt = F.pmod(F.hash("node"), F.lit(SALTS))
-    first = cut_lineage(seen.withColumn("salt", salt).join(shared.withColumn("salt", salts), ["bucket", "salt"]).select("bucket", "node", "n_shingles"))
+    first = cut_lineage(shared_buckets(classes.select("node", "n_shingles", F.explode("keys").alias("bucket"))))
     wanted = first.select(F.col("node").alias("doc_id")).distinct()
     sets = cut_lineage(docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(_set_writer(spec.shingle), "node bigint, set array<bigint>"))
     own = cut_lineage(_own_shingles(sets))
     members = first.join(own, "node", "left").na.fill(0, ["own"]).where(f"100 * (n_shingles - own) >= {spec.num} * n_shingles")
-    members = cut_lineage(members)
-    links = tested = labels = None
-    turn, last, n_members = 0, False, members.count()
-    while not last:
-        now = members.withColumn("component", F.col("node"))
-        if labels is not None:
-            now = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        # a bucket's representative comes from the component that most of its members have
-        luck = F.xxhash64(F.col("node"), F.lit(turn)) if turn else F.col("node")
-        member = F.struct(luck.alias("luck"), F.col("node").alias("rep"), F.col("n_shingles").alias("other_n"), F.col("own").alias("other_own"))
-        parts = now.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.min(member).alias("member"))
-        top = F.min(F.struct((-F.col("n")).alias("size"), "member", "component"))
-        open_buckets = parts.groupBy("bucket").agg(top.alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-        open_buckets = cut_lineage(open_buckets.select("bucket", "n", F.col("top.component").alias("main"), "top.size", "top.member.*"))
-        work = open_buckets.agg(F.sum((F.col("n") + F.col("size")).cast("double") * F.col("n"))).first()[0] or 0.0
-        last = turn == rounds or work <= 2 * n_members
-        still = now.withColumn("salt", salt).join(open_buckets.withColumn("salt", salts), ["bucket", "salt"])
-        if last:
-            # every pair that is still open: this makes the result whole whatever the rounds have found
-            one = still.select("bucket", F.col("node").alias("x"), "n_shingles", "own", F.col("component").alias("c"))
-            two = still.where("component <> main").select(
-                "bucket", F.col("node").alias("y"), F.col("n_shingles").alias("other_n"), F.col("own").alias("other_own"), F.col("component").alias("d"), "main"
-            )
-            # each pair of components once: those outside the main one meet it and each other
-            meet = one.join(two, "bucket").where(F.expr(f"c <> d and (c = main or x < y) and {_within_reach(spec.num)}"))
-            pairs = _ordered(meet)
-        else:
-            pairs = _ordered(still.where(f"component <> main and {_within_reach(spec.num)}").select(F.col("node").alias("x"), F.col("rep").alias("y")))
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        if pairs.limit(1).count():
-            found = cut_lineage(_confirm(pairs, sets, spec.num))
-            links = found if links is None else links.union(found)
-            tested = pairs if tested is None else tested.union(pairs)
-            labels = connected_components(links)
-        turn += 1
-    if labels is None:
-        labels = classes.select("node", F.col("node").alias("component")).limit(0)
-    return labels
+    # what two sets can share at most, as neither shares its own shingles, must reach the similarity
+    most = "least(n_shingles - own, other_n_shingles - other_own)"
+    reach = f"100 * {most} >= {spec.num} * (n_shingles + other_n_shingles - {most})"
+    labels = linked_components(cut_lineage(members), ["n_shingles", "own"], reach, lambda pairs: _confirm(pairs, sets, spec.num))
+    return classes.select("node", F.col("node").alias("component")).limit(0) if labels is None else labels
 
 
 def near_duplicates(docs: DataFrame, spec: Sketch = Sketch()) -> DataFrame:
@@ -258,8 +206,7 @@ def near_duplicates(docs: DataFrame, spec: Sketch = Sketch()) -> DataFrame:
     # only sets that occur twice or are linked need the way back
     named = groups.select("digest", "node", "n").join(labels, "node", "left").where("n > 1 or component is not null")
     named = named.select("digest", F.coalesce("component", "node").alias("component"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    rows = sketch.select("doc_id", "n_shingles", "digest").withColumn("salt", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(SALTS)).cast("int"))
-    joined = rows.join(named.withColumn("salt", salts), ["digest", "salt"], "left")
+    rows = sketch.select("doc_id", "n_shingles", "digest").withColumn("salt", salt_of("doc_id"))
+    joined = rows.join(named.withColumn("salt", every_salt()), ["digest", "salt"], "left")
     component = F.coalesce("component", "doc_id")
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexloom.llm.chunking import remove_chunks
 from lexloom.llm.decontaminate import find_leaks
 from lexloom.llm.hmm import hmm_scores
+from lexloom.llm.lines import line_report
 from lexloom.llm.minhash import Sketch, near_duplicates
 from lexloom.llm.perplexity import quality_rules
 from lexloom.llm.suffix_dedup import remove_repeats
@@ -101,3 +102,9 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_leaks(docs, read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), "item_ids")
+
+
+@_R.add()
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document that stand, exactly or nearly, in an earlier one, and where they stand first."""
+    return line_report(read_table(spark, sf_dir, "documents"))
