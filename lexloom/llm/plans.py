@@ -10,6 +10,7 @@ from lexloom.llm.decontaminate import find_leaks
 from lexloom.llm.hmm import hmm_scores
 from lexloom.llm.lines import line_report
 from lexloom.llm.minhash import Sketch, near_duplicates
+from lexloom.llm.mixing import mix_sources
 from lexloom.llm.perplexity import quality_rules
 from lexloom.llm.suffix_dedup import remove_repeats
 from lexloom.plans.registry import Registry
@@ -108,3 +109,9 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of each document that stand, exactly or nearly, in an earlier one, and where they stand first."""
     return line_report(read_table(spark, sf_dir, "documents"))
+
+
+@_R.add()
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of all documents takes from each, sources weighing 5, 2, 1 in turn."""
+    return mix_sources(read_table(spark, sf_dir, "documents")).drop("tag")
