@@ -12,6 +12,7 @@ from lexloom.llm.lines import line_report
 from lexloom.llm.minhash import Sketch, near_duplicates
 from lexloom.llm.mixing import mix_sources
 from lexloom.llm.perplexity import quality_rules
+from lexloom.llm.pu import pu_scores
 from lexloom.llm.suffix_dedup import remove_repeats
 from lexloom.plans.registry import Registry
 from lexloom.sources.tables import read_table
@@ -115,3 +116,11 @@ def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix of all documents takes from each, sources weighing 5, 2, 1 in turn."""
     return mix_sources(read_table(spark, sf_dir, "documents")).drop("tag")
+
+
+@_R.add()
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from positives of two thirds of the ids and all texts."""
+    labels = read_table(spark, sf_dir, "labels").where(fold(3) != 1).select("doc_id", "quality")
+    held_out = F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out")
+    return pu_scores(read_table(spark, sf_dir, "documents"), labels).select("doc_id", held_out, "score", "predicted")

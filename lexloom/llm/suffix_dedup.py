@@ -41,7 +41,7 @@ class Repeats:
     table_bits: int = 1 << 30
     part_bits: int = 1 << 20
     part_bytes: int = 16 << 20
-    shard_bytes: int = 8 << 20
+    shard_bytes: int = 2 << 20
     queue_items: int = 1 << 20
 
     @property
@@ -250,13 +250,15 @@ def _shard(spec: Repeats):
 
 def _runs(folder: Path, size: int, starts: np.ndarray, least: np.ndarray, most: np.ndarray, sids: np.ndarray, spec: Repeats):
     text = np.memmap(folder / "text", np.int16, "r", shape=(size + 1,))
-    first = np.memmap(folder / "first", np.int64, "w+", shape=(size,))
+    # the file holds ranks of documents, which are shorter than their ids
+    documents, least = np.unique(least, return_inverse=True)
+    first = np.asarray(np.memmap(folder / "first", np.int32, "w+", shape=(size,)))
     ends = np.append(starts[1:], size) - 1
     open_at, open_least = np.zeros(0, np.int64), None
     for positions, lcps in sorted_suffixes(text, 258, folder / "sort", spec.queue_items):
         owner = np.searchsorted(starts, positions, "right") - 1
         whole = ends[owner] - positions >= spec.length
-        doc = np.where(whole, least[owner], np.iinfo(np.int64).max)
+        doc = np.where(whole, least[owner], len(documents)).astype(np.int32)
         fresh = lcps < spec.length
         cut = np.flatnonzero(fresh)
         head = int(cut[0]) if len(cut) else len(positions)
@@ -279,7 +281,7 @@ def _runs(folder: Path, size: int, starts: np.ndarray, least: np.ndarray, most:
         n = np.maximum(b - a, 0)
         owner = np.repeat(np.arange(len(a)), n)
         offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        value = np.asarray(first[np.repeat(a, n) + offset])
+        value = documents[first[np.repeat(a, n) + offset]]
         fresh = np.ones(len(value), dtype=bool)
         fresh[1:] = (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])
         cut = np.flatnonzero(fresh)

@@ -146,6 +146,7 @@ def _span_keys(text: np.ndarray, is_s: np.ndarray, starts: np.ndarray, ends: np.
         far = np.array([pow(INVERSE, int(x) * BLOCK, 1 << 64) for x in range(int(a[0]) // BLOCK, int(a[-1]) // BLOCK + 1)], np.uint64)
         shift = far[a // BLOCK - a[0] // BLOCK] * back[a % BLOCK]
         keys[lo : lo + BLOCK] = mix((sums[b] - sums[a]) * shift + (b - a).astype(np.uint64))
+    (folder / "sums").unlink()
     return keys
 
 
@@ -297,17 +298,20 @@ def sorted_suffixes(text: np.ndarray, n_symbols: int, folder: Path, limit: int =
         prior = seeds[max(0, lo - 1) : lo + len(part) - 1]
         common = common_prefix(text, prior, part[len(part) - len(prior) :]) if lcp else np.zeros(len(prior), np.int64)
         up.seed(part, np.append(np.zeros(len(part) - len(prior), np.int64), common))
+    entry = np.dtype([("at", np.int32 if len(text) < 1 << 31 else np.int64), ("lcp", np.int16)])
     with (folder / "larger").open("wb") as out:
         for positions, lcps in up.run():
-            kept = ~np.asarray(is_s[positions])
-            np.stack([positions[kept], lcps[kept].astype(np.int64)], axis=1).tofile(out)
-    size = (folder / "larger").stat().st_size // 16
+            kept = ~is_s[positions]
+            found = np.empty(int(kept.sum()), entry)
+            found["at"], found["lcp"] = positions[kept], lcps[kept]
+            found.tofile(out)
+    size = (folder / "larger").stat().st_size // entry.itemsize
     down = _Induced(text, is_s, n_symbols, True, folder / "down", limit, lcp)
     if size:
-        larger = np.memmap(folder / "larger", np.int64, "r", shape=(size, 2))
+        larger = np.memmap(folder / "larger", entry, "r", shape=(size,))
         for hi in range(size, 0, -BLOCK):
             lo = max(0, hi - BLOCK)
-            positions = np.array(larger[lo:hi, 0])[::-1]
-            lcps = np.append(larger[hi, 1] if hi < size else 0, np.array(larger[lo + 1 : hi, 1])[::-1])
+            positions = larger["at"][lo:hi].astype(np.int64)[::-1]
+            lcps = np.append(larger["lcp"][hi] if hi < size else 0, larger["lcp"][lo + 1 : hi][::-1])
             down.seed(positions, lcps)
     yield from down.run()
