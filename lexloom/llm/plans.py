@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexloom.llm.chunking import remove_chunks
 from lexloom.llm.decontaminate import find_leaks
 from lexloom.llm.hmm import hmm_scores
+from lexloom.llm.licences import licences
 from lexloom.llm.lines import line_report
 from lexloom.llm.minhash import Sketch, near_duplicates
 from lexloom.llm.mixing import mix_sources
@@ -124,3 +125,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels").where(fold(3) != 1).select("doc_id", "quality")
     held_out = F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out")
     return pu_scores(read_table(spark, sf_dir, "documents"), labels).select("doc_id", held_out, "score", "predicted")
+
+
+@_R.add()
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document, its own or that of the nearest directory; a document's path is source/lang/id."""
+    docs = read_table(spark, sf_dir, "documents")
+    path = F.concat(F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.col("doc_id").cast("string")), F.lit(".txt"))
+    return licences(docs.select("doc_id", path.alias("path"), "text"))
