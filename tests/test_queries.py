@@ -31,7 +31,8 @@ def test_query_without_sql_gives_rows(spark, sf_dir, name):
 
 
 def test_contract(spark):
-    assert set(contract.queries()) - set(contract.oracle_sql()) == WITHOUT_SQL
+    assert set(plans.QUERIES) - set(plans.ORACLES) == WITHOUT_SQL
+    assert set(plans.QUERIES) <= set(contract.queries()) and set(plans.ORACLES) <= set(contract.oracle_sql())
     assert contract.entry(spark).columns == ["model", "row", "precision", "recall", "f1", "support"]
 
 
