@@ -35,10 +35,10 @@ N_FEATURES = N_CLASSES + N_BINS + 4
 
 @dataclass(frozen=True)
 class Fit:
-    """Newton steps, weight of the squared norm, and size of a correcting step where the negative risk falls below zero."""
+    """Newton steps, weight of the squared norm (by the root of the trusted rows), and size of a correcting step."""
 
     steps: int = 12
-    ridge: float = 1e-3
+    ridge: float = 3.0
     correction: float = 0.1
 
 
@@ -162,7 +162,7 @@ def fit_risk(rows: DataFrame, prior: float, fit: Fit) -> Linear:
             model.weights += fit.correction * slope / max(np.linalg.norm(slope), 1e-12)
             continue
         curve = s[5 + 3 * d :].reshape(d, d) / n
-        ridge = fit.ridge * np.append(np.ones(d - 1), 0)
+        ridge = fit.ridge / np.sqrt(n_trusted) * np.append(np.ones(d - 1), 0)
         step = np.linalg.solve(curve + np.diag(ridge + 1e-9), up / n - prior * tp / n_trusted + ridge * model.weights)
         model.weights -= step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
     return model
