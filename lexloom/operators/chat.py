@@ -1,4 +1,4 @@
-"""Conversations: ordered message lists and rendered prompts."""
+"""Conversations as the lines of rendered prompts."""
 
 from __future__ import annotations
 
@@ -10,29 +10,15 @@ ROLE_FORMAT = ("<|", "|>")
 NEXT_ROLE = "assistant"
 
 
-def assemble_messages(
-    messages: DataFrame, conv: str = "conv_id", turn: str = "turn", block: int = 1000
-) -> DataFrame:
-    """``(conv, block, messages, is_last)``: array<struct<turn, role, content>> in turn order.
+def chat_lines(messages: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """``(conv, turn, line)``: each message with its role's marker, then the next role's marker.
 
-    A conversation of up to ``block`` turns is one row; a longer one continues in further
-    blocks, so no row or task ever holds an unbounded conversation.
+    A prompt is the lines of its conversation in turn order; the marker stands one turn behind the last
+    message. A conversation of any length stays spread over its lines: only its last turn is aggregated.
     """
-    last = messages.groupBy(conv).agg(F.floor(F.max(turn) / block).alias("_last"))
-    entry = F.struct(F.col(turn).alias("turn"), "role", F.col("text").alias("content"))
-    blocks = messages.groupBy(conv, F.floor(F.col(turn) / block).alias("block")).agg(
-        F.sort_array(F.collect_list(entry)).alias("messages")
-    )
-    return blocks.join(last, conv).select(
-        conv, "block", "messages", (F.col("block") == F.col("_last")).alias("is_last")
-    )
-
-
-def render_chat(assembled: DataFrame, out: str = "prompt") -> DataFrame:
-    """Add the chat as text; the conversation's last block ends with the next role's marker."""
     opening, closing = ROLE_FORMAT
-    lines = F.transform(
-        "messages", lambda m: F.concat(F.lit(opening), m["role"], F.lit(closing), m["content"])
-    )
-    marker = F.when(F.col("is_last"), F.lit(f"\n{opening}{NEXT_ROLE}{closing}")).otherwise("")
-    return assembled.withColumn(out, F.concat(F.array_join(lines, "\n"), marker))
+    said = F.concat(F.lit(opening), "role", F.lit(closing), "text")
+    lines = messages.select(conv, F.col(turn).cast("bigint").alias(turn), said.alias("line"))
+    marker = F.lit(f"{opening}{NEXT_ROLE}{closing}")
+    ends = messages.groupBy(conv).agg((F.max(turn) + 1).cast("bigint").alias(turn)).withColumn("line", marker)
+    return lines.unionByName(ends)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions.replies import parse_verdict
 from lexloom.functions.text import with_prefix
-from lexloom.functions.vectors import dot, literal_vector
+from lexloom.functions.vectors import as_doubles, dot, literal_vector
 from lexloom.operators.encode import encode_literals
 from lexloom.operators.frames import unnest
 
@@ -36,8 +36,9 @@ def zero_shot(
     vec: str = "vec",
     dims: int = 64,
     digits: int = 6,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The nearest label text of each set: ``(label_set, key, pred, sim)``.
+    """The nearest label text of each set: ``(label_set, key, *keep, pred, sim)``.
 
     ``encoded`` comes from ``hash_encode`` with the same ``dims``. The few label vectors are
     literals of the plan, so all sets are scored in the row that holds the document: one pass,
@@ -49,10 +50,11 @@ def zero_shot(
     for name, names in label_sets.items():
         sims = F.array(*[F.round(dot(vec, literal_vector(next(vectors))), digits) for _ in names])
         sets.append(F.struct(F.lit(name).alias("label_set"), sims.alias("sims")))
-    scored = unnest(encoded, F.array(*sets), key, name="s")
+    scored = unnest(encoded, F.array(*sets), key, *keep, name="s")
     return scored.select(
         F.col("s.label_set").alias("label_set"),
         key,
+        *keep,
         (F.array_position("s.sims", F.array_max("s.sims")) - 1).cast("int").alias("pred"),
         F.array_max("s.sims").alias("sim"),
     )
@@ -70,6 +72,24 @@ def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 100) -> Logis
     return trainer.fit(points)
 
 
+def logistic_gradient(model: LogisticRegressionModel, train: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``(dim, gradient)`` of the regularised mean loss where the model stands; the last dimension is the constant.
+
+    At the minimum every entry is zero. Products are averaged inside each task before the shuffle.
+    """
+    weights = [*model.coefficients.toArray().tolist(), float(model.intercept)]
+    wide = F.concat(as_doubles("vec"), F.array(F.lit(1.0)))
+    miss = 1 / (1 + F.exp(-dot(wide, literal_vector(weights)))) - F.col("label")
+    parts = train.select(F.posexplode(F.transform(wide, lambda x: x * miss)).alias("dim", "x"))
+    ridge = F.when(F.col("dim") < len(weights) - 1, model.getRegParam() * F.element_at(literal_vector(weights), F.col("dim") + 1)).otherwise(0.0)
+    return parts.groupBy("dim").agg(F.avg("x").alias("x")).select("dim", (F.col("x") + ridge).alias("gradient"))
+
+
+def logistic_margin(model: LogisticRegressionModel, vec: Column | str = "vec") -> Column:
+    """The linear score that the model's predictions follow from."""
+    return dot(vec, literal_vector(model.coefficients.toArray().tolist())) + float(model.intercept)
+
+
 def predict_logistic(model: LogisticRegressionModel, test: DataFrame, key: str = "doc_id") -> DataFrame:
     """``(key, pred, prob)``; ``prob`` is that of label 1."""
     return model.transform(test.withColumn("features", array_to_vector("vec"))).select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from lexloom.functions.text import ws_tokens
-from lexloom.operators.frames import salted_join, unnest
+from lexloom.operators.frames import checked_join, unnest
 
 
 def bucket_of(token: Column, dims: int = 64) -> Column:
@@ -68,17 +68,25 @@ def weigh_terms(terms: DataFrame, idf: DataFrame, key: str = "doc_id") -> DataFr
 
     A term that most texts hold is divided over several tasks.
     """
-    joined = salted_join(terms, idf, "term", by=key)
+    joined = checked_join(terms, idf, "term", by=key)
     return joined.select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
 
 
+def weigh_few_terms(terms: DataFrame, idf: DataFrame, key: str = "label") -> DataFrame:
+    """The same for the terms of a few short texts: they go to the weights, which may be many."""
+    packed = terms.groupBy("term").agg(F.collect_list(F.struct(key, "tf")).alias("of"))
+    met = checked_join(idf, packed, "term", by="idf").select("term", "idf", F.inline("of"))
+    return met.select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
+
+
 def tfidf_cosine(
-    docs_w: DataFrame, labels_w: DataFrame, key: str = "doc_id", label: str = "label"
+    docs: DataFrame, docs_w: DataFrame, labels_w: DataFrame, key: str = "doc_id", label: str = "label"
 ) -> DataFrame:
-    """``(key, label, sim)`` for the document and label pairs that share a term.
+    """``(key, label, sim)`` for every document of ``docs`` and every label; 0 where they share no term.
 
-    ``labels_w`` is short: its terms are packed into one row per term, so a document term meets
-    one row. Norm and dot products come out of the same pass over the document terms.
+    Terms unseen in training count for neither side nor its length. ``labels_w`` is short: its terms are
+    packed into one row per term and sent to the document terms. Norm and dot products come out of
+    the same pass over the document terms.
     """
     norm = W.partitionBy(label)
     scaled = labels_w.withColumn("wl", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(norm)))
@@ -88,14 +96,17 @@ def tfidf_cosine(
     shared = F.transform(
         "labels", lambda m: F.struct(m[label].alias(label), (F.col("w") * m["wl"]).alias("x"))
     )
-    parts = docs_w.join(by_term, "term", "left").select(
+    parts = checked_join(docs_w, by_term, "term", by=key, how="left").select(
         key, F.inline(F.when(F.col("labels").isNull(), own).otherwise(F.concat(own, shared)))
     )
-    sums = parts.groupBy(key, label).agg(F.sum("x").alias("x"))
+    names = [r[0] for r in labels_w.select(label).distinct().collect()]
+    every = docs.select(key, F.explode(F.lit(names)).alias(label), F.lit(0.0).alias("x"))
+    sums = parts.unionByName(every).groupBy(key, label).agg(F.sum("x").alias("x"))
     # at most one row per label, and one for the norm
     square = F.max(F.when(F.col(label).isNull(), F.col("x"))).over(W.partitionBy(key))
+    sim = F.when(F.col("square") > 0, F.col("x") / F.sqrt("square")).otherwise(0.0)
     return (
         sums.withColumn("square", square)
         .filter(F.col(label).isNotNull())
-        .select(key, label, (F.col("x") / F.sqrt("square")).alias("sim"))
+        .select(key, label, sim.alias("sim"))
     )

@@ -7,42 +7,54 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from lexloom.functions.text import pad_left, pad_right
+from lexloom.session import cut_lineage
 
 
 def unnest(
     df: DataFrame, array: Column | str, *keep: str, name: str = "token", pos: str | None = None
 ) -> DataFrame:
-    """One row per array element with the columns ``keep`` (and its 0-based ``pos``).
+    """One row per array element, null ones too, with the columns ``keep`` (and its 0-based ``pos``).
+
+    Null and empty arrays give no rows.
 
     The outer form is used on purpose: for the plain one Spark puts a "not empty" filter in
     front, which would work out the array a second time, before any repartitioning.
     """
-    if pos is None:
-        return df.select(*keep, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
-    return df.select(*keep, F.posexplode_outer(array).alias(pos, name)).filter(F.col(pos).isNotNull())
+    at = pos or "_pos"
+    rows = df.select(*keep, F.posexplode_outer(array).alias(at, name)).filter(F.col(at).isNotNull())
+    return rows if pos else rows.drop(at)
+
+
+# Rows of a right side that may be sent to every task after they were counted.
+SENT_ROWS = 100_000
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, key: str, by: str, how: str = "inner", salts: int = 8
+    left: DataFrame, right: DataFrame, key: str, by: str, how: str = "inner", salts: int = 16
 ) -> DataFrame:
     """Join ``left`` to a ``right`` whose keys are unique, one key's rows on ``salts`` tasks.
 
     For a left side in which one key may hold a large share of the rows: its rows are divided
-    by a hash of column ``by``, and every right row is repeated once per salt. While Spark
-    estimates the right side below its broadcast threshold the left side is not shuffled at
-    all, so nothing is repeated.
+    by a hash of column ``by``, and every right row is repeated once per salt. Both sides of
+    the join are then plain exchanges, which Spark splits further where a part stays large.
     """
-    if _below_broadcast_threshold(right):
-        return left.join(right, key, how)
     salt = F.pmod(F.xxhash64(by), F.lit(salts))
     repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
     return left.withColumn("_salt", salt).join(repeated, [key, "_salt"], how).drop("_salt")
 
 
-def _below_broadcast_threshold(df: DataFrame) -> bool:
-    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= threshold
+def checked_join(
+    left: DataFrame, right: DataFrame, key: str, by: str, how: str = "inner", most: int = SENT_ROWS
+) -> DataFrame:
+    """Join ``left`` to a ``right`` whose keys are unique and usually few.
+
+    ``right`` is written to the shared folder and counted up to ``most`` rows: that many go to every
+    task and ``left`` is not shuffled; more of them meet it in a salted join.
+    """
+    written = cut_lineage(right)
+    if written.limit(most + 1).count() <= most:
+        return left.join(F.broadcast(written), key, how)
+    return salted_join(left, written, key, by, how)
 
 
 def preview(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
@@ -92,17 +104,17 @@ def report_header(spec: list[tuple[str, int, str]], titles: list[str], sep: str
     return [header, "-" * len(header)]
 
 
-def softmax_over(df: DataFrame, group: str, score: str, out: str = "prob") -> DataFrame:
-    """Softmax of ``score`` over all rows with the same ``group``.
+def softmax_over(df: DataFrame, group: str, score: str, by: str, out: str = "prob") -> DataFrame:
+    """Softmax of ``score`` over all rows with the same ``group``; ``by`` tells its rows apart.
 
-    The group's maximum and sum are aggregated and joined back, so a large group is never
-    sorted or buffered in one task. Groups are unique on the joined side.
+    The group's maximum and sum are aggregated inside each task first and joined back by
+    :func:`checked_join`, so few large groups are neither sorted nor shuffled.
     """
     top = df.groupBy(group).agg(F.max(score).alias("_top"))
-    shifted = df.join(top, group).withColumn("_power", F.exp(F.col(score) - F.col("_top")))
+    shifted = checked_join(df, top, group, by).withColumn("_power", F.exp(F.col(score) - F.col("_top")))
     total = shifted.groupBy(group).agg(F.sum("_power").alias("_total"))
     return (
-        shifted.join(total, group)
+        checked_join(shifted, total, group, by)
         .withColumn(out, F.col("_power") / F.col("_total"))
         .drop("_top", "_power", "_total")
     )
@@ -110,9 +122,9 @@ def softmax_over(df: DataFrame, group: str, score: str, out: str = "prob") -> Da
 
 def argmax_rows(df: DataFrame, group: list[str], label: str, score: str) -> DataFrame:
     """The label with the largest score of each group; the lowest label wins ties."""
-    best = F.max(F.struct(F.col(score).alias("score"), (-F.col(label)).alias("neg")))
+    best = F.min(F.struct((-F.col(score)).alias("down"), F.col(label).alias("label")))
     return (
         df.groupBy(*group)
         .agg(best.alias("_best"))
-        .select(*group, (-F.col("_best.neg")).alias(label), F.col("_best.score").alias(score))
+        .select(*group, F.col("_best.label").alias(label), (-F.col("_best.down")).alias(score))
     )

@@ -48,6 +48,11 @@ def confusion(preds: DataFrame, by: str = "model", truth: str = "label", pred: s
     )
 
 
+def confusion_counts(preds: DataFrame, by: str = "model", truth: str = "label", pred: str = "pred") -> DataFrame:
+    """``(by, truth, pred, n)`` for any number of classes; pairs that don't occur have no row."""
+    return preds.groupBy(by, truth, pred).agg(F.count(F.lit(1)).alias("n"))
+
+
 def _ratio(top: Column, bottom: Column) -> Column:
     return F.when(bottom > 0, top.cast("double") / bottom).otherwise(0.0)
 

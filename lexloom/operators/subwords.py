@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,44 +44,73 @@ def merge_symbols(symbols: Column, left: str, right: str) -> Column:
     return F.replace(symbols, F.lit(f" {left}  {right} "), F.lit(f" {left}{right} "))
 
 
+def independent_merges(top: list[tuple[str, str, int]], whole: bool) -> list[tuple[str, str, int]]:
+    """The leading pairs of ``top`` that may be merged together, as one after the other they would be the same.
+
+    ``top`` is sorted by ``(n desc, left, right)``; ``whole`` tells that it holds all pairs. A merge of
+    ``(c, d)`` changes the counts of pairs with c or d, and the new symbol meets its neighbours at most
+    as often as d stood before or c behind them. So a pair may join while it shares no symbol with those
+    taken, and no pair with the same count could grow into one ahead of it. A symbol merged with itself
+    can meet its like again, so nothing joins it.
+    """
+    taken = top[:1]
+    for i, (left, right, n) in enumerate(top[1:], start=1):
+        symbols = {s for pair in taken for s in pair[:2]}
+        level = [p for p in top[i:] if p[2] == n]
+        if {left, right} & symbols or taken[-1][0] == taken[-1][1] or (not whole and n == top[-1][2]):
+            break
+        if any(p[0] in {t[1] for t in taken} or p[1] in {t[0] for t in taken} for p in level):
+            break
+        taken = [*taken, (left, right, n)]
+    return taken
+
+
 def learn_subwords(
-    docs: DataFrame, n_merges: int, checkpoint_every: int = 8, text: str = "text"
+    docs: DataFrame, n_merges: int, checkpoint_every: int = 4, text: str = "text", looked_at: int = 64
 ) -> list[tuple[str, str, int]]:
     """``(left, right, n)`` merges in the order learned, ties by ``(n desc, left, right)``.
 
     The loop runs over the table of distinct words, never over the texts. Pairs are counted
-    whole once; after a merge only the words that hold the merged pair are taken apart again,
-    and the difference corrects the counts. The driver receives one pair per round. Both
-    tables are cut from their history every ``checkpoint_every`` rounds.
+    whole once; after a round only the words that hold a merged pair are taken apart again,
+    and the difference corrects the counts. A round takes as many pairs as :func:`independent_merges`
+    allows; the driver receives ``looked_at`` pairs. Both tables are cut from their history every
+    ``checkpoint_every`` rounds, and what was cached is released.
     """
     words = cut_lineage(word_table(docs, text))
     counts = cut_lineage(pair_counts(words))
     merges: list[tuple[str, str, int]] = []
-    held_back: list[DataFrame] = []
-    for step in range(1, n_merges + 1):
-        best = counts.orderBy(F.desc("n"), "left", "right").limit(1).collect()
-        if not best:
-            break
-        left, right, n = best[0]["left"], best[0]["right"], best[0]["n"]
-        merges.append((left, right, n))
-        if step == n_merges:
-            break
-        held = words.filter(F.contains("symbols", F.lit(f" {left}  {right} ")))
-        merged = merge_symbols(F.col("symbols"), left, right)
-        change = F.array(
-            F.struct(F.col("symbols"), (-F.col("n")).alias("n")),
-            F.struct(merged.alias("symbols"), F.col("n")),
-        )
-        difference = pair_counts(held.select(F.inline(change)))
-        corrected = counts.unionByName(difference).groupBy("left", "right").agg(F.sum("n").alias("n"))
-        previous, counts = counts, corrected.filter(F.col("n") > 0).persist()
-        held_back.append(previous)
-        words = words.withColumn("symbols", merged)
-        if step % checkpoint_every == 0:
-            words, counts = cut_lineage(words), cut_lineage(counts)
-            while held_back:
-                held_back.pop().unpersist()
-    counts.unpersist()
+    held: list[DataFrame] = []
+    rounds = 0
+    try:
+        while len(merges) < n_merges:
+            rows = counts.orderBy(F.desc("n"), "left", "right").limit(looked_at + 1).collect()
+            top = [(r["left"], r["right"], r["n"]) for r in rows]
+            together = independent_merges(top, len(top) <= looked_at)[: n_merges - len(merges)]
+            merges += together
+            if not together or len(merges) == n_merges:
+                break
+            merged = F.col("symbols")
+            for left, right, _ in together:
+                merged = merge_symbols(merged, left, right)
+            touched = words.withColumn("merged", merged).filter(F.col("merged") != F.col("symbols"))
+            change = F.array(
+                F.struct(F.col("symbols"), (-F.col("n")).alias("n")),
+                F.struct(F.col("merged").alias("symbols"), F.col("n")),
+            )
+            difference = pair_counts(touched.select(F.inline(change)))
+            corrected = counts.unionByName(difference).groupBy("left", "right").agg(F.sum("n").alias("n"))
+            words = words.withColumn("symbols", merged)
+            rounds += 1
+            if rounds % checkpoint_every == 0:
+                words, counts = cut_lineage(words), cut_lineage(corrected.filter(F.col("n") > 0))
+                while held:
+                    held.pop().unpersist()
+            else:
+                counts = corrected.filter(F.col("n") > 0).persist()
+                held.append(counts)
+    finally:
+        while held:
+            held.pop().unpersist()
     return merges
 
 
@@ -106,8 +136,8 @@ def split_word(word: str, rank: dict[tuple[str, str], int]) -> list[str]:
 def subword_pieces(tokens: Column, merges: list[tuple[str, str, int]]) -> Column:
     """The pieces of every token of a token array, in order.
 
-    Texts stay where they are; each Python worker remembers the words it has split, so
-    frequent words cost one look-up and no word needs a shuffle.
+    Texts stay where they are; a batch's distinct words are split once and each Python worker
+    remembers them, so no word needs a shuffle.
     """
     rank = {(left, right): i for i, (left, right, _) in enumerate(merges)}
 
@@ -115,20 +145,26 @@ def subword_pieces(tokens: Column, merges: list[tuple[str, str, int]]) -> Column
     def pieces_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict[str, list[str]] = {}
         for batch in batches:
-            out = []
-            for words in batch:
-                if words is None:
-                    out.append(None)
-                    continue
-                row: list[str] = []
-                for word in words:
-                    if word not in known:
-                        if len(known) >= _CACHED_WORDS:
-                            known.clear()
-                        known[word] = split_word(word, rank)
-                    row.extend(known[word])
-                out.append(row)
-            yield pd.Series(out, index=batch.index, dtype=object)
+            there = batch.notna()
+            rows = [np.asarray(words, dtype=object) for words in batch[there]]
+            codes, distinct = pd.factorize(np.concatenate(rows) if rows else np.zeros(0, dtype=object))
+            if len(known) > _CACHED_WORDS:
+                known.clear()
+            for word in distinct:
+                if word not in known:
+                    known[word] = split_word(word, rank)
+            split = [known[word] for word in distinct]
+            sizes = np.array([len(p) for p in split], dtype=np.int64)
+            flat = np.array([piece for p in split for piece in p], dtype=object)
+            # the pieces of each token stand together in `flat`
+            first, n = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
+            at = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            per_row = np.add.reduceat(np.append(n, 0), np.cumsum([0, *map(len, rows)])[:-1]) if rows else n
+            per_row = np.where([len(r) > 0 for r in rows], per_row, 0)
+            out = pd.Series([None] * len(batch), index=batch.index, dtype=object)
+            cut = np.split(flat[at], np.cumsum(per_row)[:-1]) if rows else []
+            out[there] = pd.Series(cut, index=batch.index[there], dtype=object)
+            yield out
 
     return pieces_of(tokens)
 

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from lexloom.functions.text import LEADING_SPACE_MARK, char_tokens, letter_tokens, ws_tokens
-from lexloom.operators.frames import salted_join, unnest
+from lexloom.operators.frames import checked_join, salted_join, unnest
+from lexloom.session import cut_lineage
 
 # Special tokens; their IDs are 0 to 3 in this order.
 SPECIALS = ["[PAD]", "[UNK]", "[CLS]", "[SEP]"]
 PAD_ID, UNK_ID, CLS_ID, SEP_ID = range(4)
 
-# A vocabulary of this many rows (some tens of MB) is broadcast; a larger one is joined by shuffle.
-MAX_BROADCAST_VOCAB = 200_000
+# A vocabulary counted to have this many rows (some tens of MB) goes to every task; a larger one is joined by shuffle.
+SENT_VOCAB = 200_000
 
 
 def token_counts(docs: DataFrame, tokens: Column) -> DataFrame:
@@ -43,23 +49,51 @@ def build_vocab(
     return specials.unionByName(words)
 
 
-def _lookup(rows: DataFrame, vocab: DataFrame, key: str, by: str, vocab_size: int) -> DataFrame:
-    if vocab_size <= MAX_BROADCAST_VOCAB:
-        return rows.join(F.broadcast(vocab), key, "left")
-    return salted_join(rows, vocab, key, by=by, how="left")
-
-
-def encode(
-    docs: DataFrame, vocab: DataFrame, vocab_size: int, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
+def _vocab_lists(vocab: DataFrame, most: int) -> tuple[DataFrame, list[str] | None]:
+    """The vocabulary as a written table, and its tokens by ID if it has at most ``most`` rows."""
+    written = cut_lineage(vocab.select("id", "token"))
+    rows = written.limit(most + 1).toArrow()
+    if rows.num_rows > most:
+        return written, None
+    tokens: list[str] = [SPECIALS[UNK_ID]] * (1 + max(rows.column("id").to_pylist(), default=UNK_ID))
+    for i, token in zip(rows.column("id").to_pylist(), rows.column("token").to_pylist(), strict=True):
+        tokens[i] = token
+    return written, tokens
+
+
+def _encoder(shared, columns: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(shared.value)
+        for batch in batches:
+            tokens = batch.column(len(columns))
+            lengths = np.asarray(tokens.value_lengths().fill_null(0))
+            ids = pc.fill_null(pc.index_in(tokens.flatten(), value_set=known), UNK_ID).to_numpy()
+            ends = np.cumsum(lengths + 2)
+            flat = np.full(int(ends[-1]) if len(ends) else 0, SEP_ID, np.int32)
+            starts = ends - lengths - 2
+            flat[starts] = CLS_ID
+            flat[np.arange(len(ids)) + 2 * np.repeat(np.arange(len(lengths)), lengths) + 1] = ids
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(flat))
+            yield pa.record_batch([*batch.columns[: len(columns)], lists], names=[*columns, "ids"])
+
+    return run
+
+
+def encode(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text: str = "text", most: int = SENT_VOCAB) -> DataFrame:
     """``(key, ids)``: token IDs with the class token in front and the separator behind.
 
-    ``vocab_size`` is the ``size`` given to :func:`build_vocab`, so it bounds the broadcast.
-    The tokens of one text are collected again; a group is never larger than one input row.
+    A vocabulary counted to have at most ``most`` rows goes to every task, which looks tokens up where
+    the text is read. Beyond that, tokens are joined and the tokens of one text are collected again; such a
+    group is never larger than one input row.
     """
+    table, tokens = _vocab_lists(vocab, most)
+    words = docs.select(key, ws_tokens(text).alias("tokens"))
+    if tokens is not None:
+        shared = docs.sparkSession.sparkContext.broadcast(tokens)
+        return words.mapInArrow(_encoder(shared, [key]), f"`{key}` {docs.schema[key].dataType.simpleString()}, ids array<int>")
     # a text without tokens stays as one row without a position: it gets the two special tokens
-    words = docs.select(key, F.posexplode_outer(ws_tokens(text)).alias("pos", "token"))
-    ids = _lookup(words, vocab.select("token", "id"), "token", "pos", vocab_size)
+    apart = words.select(key, F.posexplode_outer("tokens").alias("pos", "token"))
+    ids = salted_join(apart, table, "token", by="pos", how="left")
     entry = F.struct("pos", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
     body = F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), entry)))
     ids_of = F.concat(
@@ -68,26 +102,47 @@ def encode(
     return ids.groupBy(key).agg(ids_of.alias("ids"))
 
 
-def lookup_tokens(rows: DataFrame, vocab: DataFrame, vocab_size: int, by: str = "pos") -> DataFrame:
+def lookup_tokens(rows: DataFrame, vocab: DataFrame, by: str = "pos", most: int = SENT_VOCAB) -> DataFrame:
     """Add the ``token`` of each ``id``; an ID outside the vocabulary shows as unknown."""
-    named = _lookup(rows, vocab.select("id", "token"), "id", by, vocab_size)
+    named = checked_join(rows, vocab.select("id", "token"), "id", by, "left", most)
     return named.withColumn("token", F.coalesce("token", F.lit(SPECIALS[UNK_ID])))
 
 
+def _decoder(shared, columns: list[str], hidden: list[int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(shared.value)
+        for batch in batches:
+            lists = batch.column(len(columns))
+            lengths = np.asarray(lists.value_lengths().fill_null(0))
+            ids = np.asarray(pc.fill_null(lists.flatten(), UNK_ID))
+            shown = ~np.isin(ids, hidden)
+            row = np.repeat(np.arange(len(lengths)), lengths)[shown]
+            inside = (ids >= 0) & (ids < len(known))
+            tokens = known.take(pa.array(np.where(inside, ids, UNK_ID)[shown]))
+            cuts = np.append(0, np.cumsum(np.bincount(row, minlength=len(lengths)))).astype(np.int32)
+            texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), tokens), " ")
+            yield pa.record_batch([*batch.columns[: len(columns)], texts], names=[*columns, "text"])
+
+    return run
+
+
 def decode(
-    encoded: DataFrame, vocab: DataFrame, vocab_size: int, key: str = "doc_id", skip_special: bool = True
+    encoded: DataFrame, vocab: DataFrame, key: str = "doc_id", skip_special: bool = True, most: int = SENT_VOCAB
 ) -> DataFrame:
     """``(key, text)``: IDs back to tokens joined by spaces.
 
-    With ``skip_special`` padding, class and separator tokens are left out; unknown stays.
+    With ``skip_special`` padding, class and separator tokens are left out; unknown stays. As in
+    :func:`encode`, a vocabulary of at most ``most`` rows needs no shuffle.
     """
+    hidden = [PAD_ID, CLS_ID, SEP_ID] if skip_special else []
+    table, tokens = _vocab_lists(vocab, most)
+    if tokens is not None:
+        shared = encoded.sparkSession.sparkContext.broadcast(tokens)
+        kinds = f"`{key}` {encoded.schema[key].dataType.simpleString()}, text string"
+        return encoded.select(key, F.col("ids").cast("array<int>")).mapInArrow(_decoder(shared, [key], hidden), kinds)
     rows = unnest(encoded, "ids", key, name="id", pos="pos")
-    if skip_special:
-        hidden = F.col("id").isin(PAD_ID, CLS_ID, SEP_ID)
-        rows = rows.withColumn("_shown", ~hidden)
-    else:
-        rows = rows.withColumn("_shown", F.lit(True))
-    named = lookup_tokens(rows, vocab, vocab_size)
+    rows = rows.withColumn("_shown", ~F.col("id").isin(hidden) if hidden else F.lit(True))
+    named = salted_join(rows, table, "id", by="pos", how="left").withColumn("token", F.coalesce("token", F.lit(SPECIALS[UNK_ID])))
     ordered = F.sort_array(
         F.collect_list(F.when(F.col("_shown"), F.struct("pos", "token")))
     )
@@ -99,11 +154,12 @@ def decode(
 def pad_batch(encoded: DataFrame, batch: str, key: str = "doc_id", pad_id: int = PAD_ID) -> DataFrame:
     """Pad the IDs on the right to the longest row of their batch; add the attention mask.
 
-    Only the batch's length is aggregated and joined back, so a large batch is not gathered.
+    Only the batch's length is aggregated and joined back, so a large batch is not gathered. ``encoded`` is
+    read twice: pass a written table.
     """
     longest = encoded.groupBy(batch).agg(F.max(F.size("ids")).alias("_longest"))
     filled = F.concat("ids", F.array_repeat(F.lit(pad_id), F.col("_longest") - F.size("ids")))
-    padded = salted_join(encoded, longest, batch, by=key).withColumn("ids", filled).drop("_longest")
+    padded = checked_join(encoded, longest, batch, by=key).withColumn("ids", filled).drop("_longest")
     return padded.withColumn("mask", attention_mask("ids", pad_id))
 
 

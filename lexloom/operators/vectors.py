@@ -18,6 +18,11 @@ from lexloom.operators.frames import rank_hits, unnest
 
 # Vectors of the small side that are held in one block on the driver and in each Python worker.
 BLOCK_VECTORS = 4096
+# Rows of a batch that a task hands on.
+OUTPUT_ROWS = 1 << 18
+
+# Arrow types of the keys that vector tables may have.
+KEY_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
 
 
 def vec_dim(vecs: DataFrame, vec: str = "vec") -> DataFrame:
@@ -40,14 +45,32 @@ def _unit_rows(values: np.ndarray) -> np.ndarray:
     return np.divide(values, norms, out=np.zeros_like(values), where=norms > 0)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    rows = len(column)
-    return np.asarray(column.flatten(), dtype=np.float64).reshape(rows, -1)
+def _matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unit rows of width ``dim`` and which of them are vectors; null ones, holes and other lengths are not."""
+    lengths = np.asarray(column.value_lengths().fill_null(-1))
+    usable = lengths == dim
+    flat = column.flatten()
+    starts = np.concatenate([[0], np.cumsum(np.maximum(lengths, 0))])[:-1]
+    values = np.asarray(flat.fill_null(float("nan")), dtype=np.float64)
+    rows = np.zeros((len(column), dim))
+    if dim and usable.any():
+        rows[usable] = values[starts[usable][:, None] + np.arange(dim)]
+    usable &= ~np.isnan(rows).any(axis=1)
+    rows[~usable] = 0
+    return _unit_rows(rows), usable
+
+
+def one_dimension(vectors: list[list[float]]) -> np.ndarray:
+    """The vectors as a matrix; a table of vectors has one dimension and no holes."""
+    lengths = {len(v) for v in vectors}
+    if len(lengths) > 1 or any(x is None for v in vectors for x in v):
+        raise ValueError(f"vectors of one table need one length and no nulls, found lengths {sorted(lengths)}")
+    return np.array(vectors, dtype=np.float64)
 
 
 def _blocks(small: DataFrame, key: str, vec: str) -> Iterator[tuple[list, np.ndarray]]:
     """The small side in blocks of bounded size, one after the other through the driver."""
-    picked = small.select(key, as_doubles(vec).alias(vec))
+    picked = small.where(F.col(vec).isNotNull()).select(key, as_doubles(vec).alias(vec))
     first = picked.limit(BLOCK_VECTORS + 1).collect()
     if len(first) <= BLOCK_VECTORS:
         blocks = iter([first])
@@ -57,7 +80,7 @@ def _blocks(small: DataFrame, key: str, vec: str) -> Iterator[tuple[list, np.nda
         blocks = (picked.filter(home == b).collect() for b in range(n_blocks))
     for rows in blocks:
         if rows:
-            yield [r[0] for r in rows], _unit_rows(np.array([r[1] for r in rows], dtype=np.float64))
+            yield [r[0] for r in rows], _unit_rows(one_dimension([r[1] for r in rows]))
 
 
 def _empty(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
@@ -75,7 +98,8 @@ def cross_score(
 
     The right side is the short one (labels, queries). It is sent out as one matrix per
     ``BLOCK_VECTORS`` vectors and the left side is read once per block, without any shuffle.
-    A zero vector scores 0.
+    A zero vector scores 0; a null vector, one with holes or of another length scores null, as in
+    :func:`cosine`. Null vectors on the right are left out, unequal lengths there are an error.
     """
     fields = [
         left.select(left_key).schema[0],
@@ -92,28 +116,32 @@ def cross_score(
 
         def score(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             right_names, right_matrix = shared.value
+            names_column = pa.array(right_names, type=arrow_right)
+            step = max(1, OUTPUT_ROWS // len(right_names))
             for batch in batches:
-                if batch.num_rows == 0:
-                    continue
-                sims = _unit_rows(_matrix(batch.column(1))) @ right_matrix.T
-                at = pa.array(np.repeat(np.arange(batch.num_rows), len(right_names)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(at),
-                        pa.array(right_names * batch.num_rows, type=arrow_right),
-                        pa.array(sims.ravel()),
-                    ],
-                    names=[f.name for f in fields],
-                )
+                for lo in range(0, batch.num_rows, step):
+                    part = batch.slice(lo, step)
+                    rows, usable = _matrix(part.column(1), right_matrix.shape[1])
+                    at = np.repeat(np.arange(part.num_rows), len(right_names))
+                    every = np.tile(np.arange(len(right_names)), part.num_rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column(0).take(pa.array(at)),
+                            names_column.take(pa.array(every)),
+                            pa.array((rows @ right_matrix.T).ravel(), mask=~usable[at]),
+                        ],
+                        names=[f.name for f in fields],
+                    )
 
         parts.append(wide.mapInArrow(score, schema))
     return _union(parts) if parts else _empty(left, fields)
 
 
 def _arrow_type(kind: T.DataType) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(kind)
+    name = kind.simpleString()
+    if name not in KEY_TYPES:
+        raise TypeError(f"keys of vectors are {', '.join(KEY_TYPES)}, not {name}")
+    return KEY_TYPES[name]
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -136,7 +164,8 @@ def most_similar_to_vector(
     """The ``k`` nearest vectors to each query vector: ``(query, key, sim, rank)``.
 
     Exact. Every task keeps the best ``k`` per query of its own rows, so at most ``k`` rows per
-    query and task are shuffled. Similarities are rounded to ``digits`` before ranking and ties
+    query and task are shuffled. Null vectors, ones with holes or of another length are no
+    neighbours; queries of unequal lengths are an error. Similarities are rounded to ``digits`` before ranking and ties
     go to the lower key, so the result does not depend on the partitioning.
     """
     fields = [
@@ -157,11 +186,11 @@ def most_similar_to_vector(
             kept: list[tuple[np.ndarray, np.ndarray]] = [
                 (np.empty(0), np.empty(0, dtype=object)) for _ in query_names
             ]
-            for batch in batches:
-                if batch.num_rows == 0:
-                    continue
-                keys = np.array(batch.column(0).to_pylist(), dtype=object)
-                sims = np.round(query_matrix @ _unit_rows(_matrix(batch.column(1))).T, digits) + 0.0
+            step = max(1, 16 * OUTPUT_ROWS // len(query_names))
+            for batch in (whole.slice(lo, step) for whole in batches for lo in range(0, whole.num_rows, step)):
+                rows, usable = _matrix(batch.column(1), query_matrix.shape[1])
+                keys = np.array(batch.column(0).to_pylist(), dtype=object)[usable]
+                sims = np.round(query_matrix @ rows[usable].T, digits) + 0.0
                 for q, name in enumerate(query_names):
                     old_sims, old_keys = kept[q]
                     row = sims[q]
@@ -289,26 +318,27 @@ def pair_cosine(pairs: DataFrame, a: str, b: str, out: str = "sim") -> DataFrame
     return pairs.withColumn(out, cosine(a, b))
 
 
-def context_vectors(docs: DataFrame, buckets: str, radius: int, key: str = "doc_id", tokens: str = "tokens") -> DataFrame:
+def context_vectors(
+    docs: DataFrame, buckets: str, radius: int, key: str = "doc_id", tokens: str = "tokens", only: list[str] | None = None
+) -> DataFrame:
     """Sparse context vectors ``(key, pos, token, bucket, x)``.
 
     The base vector of a token is 1 in its bucket; its context vector is the average of the
     base vectors from ``radius`` places before to ``radius`` places behind it. A plain local
-    average, not a neural encoder. Built inside each row, without a shuffle.
+    average, not a neural encoder. Built inside each row, without a shuffle. With ``only``, places of
+    other tokens are left out before their neighbours are taken.
     """
     size = F.size(tokens)
-    spans = F.transform(
-        F.col(tokens),
-        lambda t, i: F.struct(
-            i.alias("pos"),
-            t.alias("token"),
-            F.slice(
-                F.col(buckets),
-                F.greatest(i - radius, F.lit(0)) + 1,
-                F.least(i + radius + 1, size) - F.greatest(i - radius, F.lit(0)),
-            ).alias("near"),
-        ),
-    )
+    places = F.transform(F.col(tokens), lambda t, i: F.struct(i.alias("pos"), t.alias("token")))
+    if only is not None:
+        places = F.filter(places, lambda p: p["token"].isin(only))
+
+    def around(p: Column) -> Column:
+        first = F.greatest(p["pos"] - radius, F.lit(0))
+        near = F.slice(F.col(buckets), first + 1, F.least(p["pos"] + radius + 1, size) - first)
+        return F.struct(p["pos"].alias("pos"), p["token"].alias("token"), near.alias("near"))
+
+    spans = F.transform(places, around)
     at = unnest(docs, spans, key, name="s").select(key, "s.*")
     return _spread_mass(at, [key, "pos", "token"])
 

@@ -10,6 +10,7 @@ from lexloom.operators import metrics as mt
 from lexloom.operators.encode import hash_encode
 from lexloom.plans.corpus import LABEL_NAMES
 from lexloom.plans.registry import HASHED, REVIEWS, SCORES, Registry
+from lexloom.session import cut_lineage
 from lexloom.sources import tables as tb
 
 _R = Registry()
@@ -82,14 +83,18 @@ def _prompted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(model, doc_id, label, pred)`` of three methods over all reviews."""
-    truth = tb.reviews(spark, sf_dir).select("doc_id", "label")
-    matched = _zero_shot(spark, sf_dir).select(
-        F.concat(F.lit("zero-shot "), "label_set").alias("model"), "doc_id", "pred"
+    """``(model, doc_id, label, pred)`` of three methods over all reviews, all worked out beside the text."""
+    prompted = cl.classify_with_prompt(_encoded(spark, sf_dir), cl.word_rule(NEGATIVE_WORDS)).withColumnRenamed("pred", "said")
+    matched = cl.zero_shot(prompted, cl.LABEL_SETS, keep=("label", "said"))
+    # the prompt's answer stands on every label set's row and is taken from the first one
+    first = F.col("label_set") == next(iter(cl.LABEL_SETS))
+    both = F.array(
+        F.struct(F.concat(F.lit("zero-shot "), "label_set").alias("model"), F.col("pred").alias("pred")),
+        F.struct(F.when(first, "prompt").alias("model"), F.col("said").alias("pred")),
+    )
+    return matched.select("doc_id", "label", F.explode(both).alias("p")).where("p.model is not null").select(
+        "p.model", "doc_id", "label", "p.pred"
     )
-    prompted = _prompted(spark, sf_dir).select(F.lit("prompt").alias("model"), "doc_id", "pred")
-    aligned = mt.align_predictions(matched.unionByName(prompted), truth)
-    return aligned.select("model", "doc_id", "label", "pred")
 
 
 @_R.add(
@@ -160,9 +165,42 @@ def unmatched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mt.unmatched(tb.docs(spark, sf_dir), tb.read_table(spark, sf_dir, "labels"))
 
 
+def _logistic(spark: SparkSession, sf_dir: str):
+    """The encoded reviews and the model fitted on their train split."""
+    encoded = cut_lineage(_encoded(spark, sf_dir).select("doc_id", "vec", "label", "split"))
+    return encoded, cl.fit_logistic(encoded.filter(F.col("split") == "train"))
+
+
 @_R.add()
 def logistic_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fitted on the train split, applied to every review."""
-    encoded = _encoded(spark, sf_dir).select("doc_id", "vec", "label", "split")
-    model = cl.fit_logistic(encoded.filter(F.col("split") == "train"))
+    encoded, model = _logistic(spark, sf_dir)
     return cl.predict_logistic(model, encoded)
+
+
+@_R.add("SELECT range::INTEGER AS dim, 0.0::DOUBLE AS gradient FROM range(65)")
+def logistic_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted model stands at the minimum of its loss over the train split."""
+    encoded, model = _logistic(spark, sf_dir)
+    found = cl.logistic_gradient(model, encoded.filter(F.col("split") == "train"))
+    return found.select("dim", (F.round("gradient", 3) + 0.0).alias("gradient"))
+
+
+@_R.add(f"WITH {REVIEWS} SELECT doc_id, true AS follows FROM reviews")
+def logistic_follows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every prediction is the sign of the fitted linear score."""
+    encoded, model = _logistic(spark, sf_dir)
+    margin = encoded.select("doc_id", cl.logistic_margin(model).alias("margin"))
+    both = cl.predict_logistic(model, encoded).join(margin, "doc_id")
+    return both.select("doc_id", (F.col("pred") == (F.col("margin") > 0).cast("int")).alias("follows"))
+
+
+@_R.add()
+def held_out_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four methods on the test split: two label wordings, the prompt, and encodings with logistic regression."""
+    encoded, model = _logistic(spark, sf_dir)
+    test = encoded.filter(F.col("split") == "test")
+    fitted = cl.predict_logistic(model, test).join(test.select("doc_id", "label"), "doc_id")
+    others = _predictions(spark, sf_dir).join(test.select("doc_id"), "doc_id", "left_semi")
+    rows = others.unionByName(fitted.select(F.lit("encoding + logistic").alias("model"), "doc_id", "label", "pred"))
+    return mt.compare_models(rows, LABEL_NAMES)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.functions import replies as rp
-from lexloom.operators.chat import assemble_messages, render_chat
+from lexloom.operators.chat import chat_lines
 from lexloom.plans.registry import REPLIES, Registry
 from lexloom.sources import tables as tb
 
@@ -87,12 +87,8 @@ def verdict_char(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_R.add(
-    """SELECT conv_id, turn // 1000 AS block, count(*) AS n_messages,
-           string_agg('<|' || role || '|>' || text, chr(10) ORDER BY turn)
-             || CASE WHEN turn // 1000 = any_value(last_block) THEN chr(10) || '<|assistant|>' ELSE '' END AS prompt
-    FROM (SELECT *, max(turn // 1000) OVER (PARTITION BY conv_id) AS last_block FROM conversations)
-    GROUP BY conv_id, turn // 1000"""
+    """SELECT conv_id, turn, '<|' || role || '|>' || text AS line FROM conversations
+    UNION ALL SELECT conv_id, max(turn) + 1, '<|assistant|>' FROM conversations GROUP BY conv_id"""
 )
 def chat_rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chats = render_chat(assemble_messages(tb.messages(spark, sf_dir)))
-    return chats.select("conv_id", "block", F.size("messages").cast("bigint").alias("n_messages"), "prompt")
+    return chat_lines(tb.messages(spark, sf_dir))

@@ -51,7 +51,7 @@ def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _encoded(spark: SparkSession, sf_dir: str, words_table: DataFrame) -> DataFrame:
-    return tk.encode(tb.docs(spark, sf_dir), words_table, VOCAB_SIZE)
+    return tk.encode(tb.docs(spark, sf_dir), words_table)
 
 
 @_R.add(f"WITH {ENCODED} SELECT doc_id, len(ids) AS n_ids, array_to_string(ids, ' ') AS ids FROM encoded")
@@ -72,7 +72,7 @@ def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts encoded and decoded again; words outside the vocabulary come back as unknown."""
     words_table = cut_lineage(_vocab(spark, sf_dir))
-    return tk.decode(_encoded(spark, sf_dir, words_table), words_table, VOCAB_SIZE)
+    return tk.decode(_encoded(spark, sf_dir, words_table), words_table)
 
 
 @_R.add(
@@ -84,7 +84,7 @@ def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def padded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches of 32 documents padded to their longest one, with the attention mask's sum."""
-    ids = _encoded(spark, sf_dir, _vocab(spark, sf_dir)).withColumn("batch", F.floor(F.col("doc_id") / 32))
+    ids = cut_lineage(_encoded(spark, sf_dir, _vocab(spark, sf_dir))).withColumn("batch", F.floor(F.col("doc_id") / 32))
     padded_ids = tk.pad_batch(ids, "batch")
     return padded_ids.select(
         "doc_id",
@@ -286,5 +286,5 @@ def softmax_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("lang", "token")
         .agg(F.log(F.count(F.lit(1)).cast("double")).alias("score"))
     )
-    probs = softmax_over(counts, "lang", "score")
+    probs = softmax_over(counts, "lang", "score", by="token")
     return probs.select("lang", "token", F.round("prob", 6).alias("prob"))

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from lexloom.functions import vectors as vc
 from lexloom.functions.text import ws_tokens
 from lexloom.operators import encode as en
+from lexloom.operators import metrics as mt
 from lexloom.operators import vectors as vo
-from lexloom.operators.frames import argmax_rows, rank_hits, unnest
+from lexloom.operators.frames import argmax_rows, checked_join, rank_hits, unnest
 from lexloom.plans.registry import HASHED, REVIEWS, Registry, bucket, words
 from lexloom.session import cut_lineage
 from lexloom.sources import tables as tb
@@ -72,7 +73,7 @@ def pair_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each vector against the mean of its own class."""
     vecs = tb.vectors(spark, sf_dir)
     means = vo.mean_vec(vecs, "label").withColumnRenamed("vec", "center")
-    pairs = vo.pair_cosine(vecs.join(means, "label"), "vec", "center")
+    pairs = vo.pair_cosine(checked_join(vecs, means, "label", by="key"), "vec", "center")
     return pairs.select("key", "label", (F.round("sim", 6) + 0.0).alias("sim"))
 
 
@@ -97,6 +98,19 @@ def nearest_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return argmax_rows(cosine_matrix(spark, sf_dir), ["key"], "label", "sim")
 
 
+@_R.add(
+    f"""WITH {VECS}, {DIMS}, {CENTROIDS}, sims AS (
+      SELECT key, c.label AS pred, round(list_cosine_similarity(vec, c.c), 6) + 0.0 AS sim FROM vecs CROSS JOIN centroids c),
+    best AS (SELECT key, pred FROM sims QUALIFY row_number() OVER (PARTITION BY key ORDER BY sim DESC, pred) = 1)
+    SELECT 'nearest mean' AS model, label, pred, count(*) AS n FROM best JOIN vecs USING (key) GROUP BY label, pred"""
+)
+def class_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """True classes against those of the nearest class mean, for all ten classes."""
+    found = nearest_class(spark, sf_dir).select("key", F.col("label").alias("pred"))
+    joined = tb.vectors(spark, sf_dir).select("key", "label").join(found, "key")
+    return mt.confusion_counts(joined.withColumn("model", F.lit("nearest mean")))
+
+
 @_R.add(
     f"""WITH {VECS}, {DIMS} SELECT key, (d - 1)::INTEGER AS best_dim FROM dims
     QUALIFY row_number() OVER (PARTITION BY key ORDER BY x DESC, d) = 1"""
@@ -216,7 +230,8 @@ LANGUAGE_LABELS = {
     sims AS (SELECT doc_id, label, sum(d.w * l.w) AS dot FROM dw d JOIN lw l USING (term) GROUP BY ALL),
     dn AS (SELECT doc_id, sqrt(sum(w * w)) AS n FROM dw GROUP BY doc_id),
     ln AS (SELECT label, sqrt(sum(w * w)) AS n FROM lw GROUP BY label)
-    SELECT doc_id, label, round(dot / (dn.n * ln.n), 6) AS sim FROM sims JOIN dn USING (doc_id) JOIN ln USING (label)"""
+    SELECT doc_id, label, round(coalesce(dot / (dn.n * ln.n), 0), 6) AS sim
+    FROM documents CROSS JOIN label_texts LEFT JOIN sims USING (doc_id, label) LEFT JOIN dn USING (doc_id) LEFT JOIN ln USING (label)"""
 )
 def tfidf_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against label texts of four languages; weights come from the train split."""
@@ -227,8 +242,9 @@ def tfidf_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
         en.fit_idf(terms.join(train, "doc_id", "left_semi"), train.select(F.count(F.lit(1))).scalar())
     )
     texts = inline_table(spark, list(LANGUAGE_LABELS.items()), "label string, text string")
-    label_w = en.weigh_terms(en.term_counts(texts, key="label"), idf, key="label")
-    sims = en.tfidf_cosine(en.weigh_terms(terms, idf), label_w, label="label")
+    label_w = cut_lineage(en.weigh_few_terms(en.term_counts(texts, key="label"), idf))
+    docs = tb.read_table(spark, sf_dir, "documents").select("doc_id")
+    sims = en.tfidf_cosine(docs, en.weigh_terms(terms, idf), label_w)
     return sims.withColumn("sim", F.round("sim", 6))
 
 
@@ -240,12 +256,12 @@ near AS (SELECT a.doc_id, a.pos, a.token, {bucket('b.token')} AS b,
          JOIN tok b ON a.doc_id = b.doc_id AND b.pos = a.pos + a.step)"""
 
 
-def _contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _contexts(spark: SparkSession, sf_dir: str, only: list[str] | None = None) -> DataFrame:
     docs = tb.docs(spark, sf_dir).select(
         "doc_id", ws_tokens(F.lower("text")).alias("tokens")
     )
     buckets = F.transform("tokens", lambda t: en.bucket_of(t).cast("int"))
-    return vo.context_vectors(docs.withColumn("buckets", buckets), "buckets", radius=2)
+    return vo.context_vectors(docs.withColumn("buckets", buckets), "buckets", radius=2, only=only)
 
 
 @_R.add(
@@ -276,5 +292,5 @@ TARGET, FIRST, SECOND = "it", "the", "that"
     SELECT doc_id, sim_a, sim_b, CASE WHEN sim_a > sim_b THEN '{FIRST}' ELSE '{SECOND}' END AS closer FROM sims"""
 )
 def closer_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = vo.mean_context(_contexts(spark, sf_dir).filter(F.col("token").isin(TARGET, FIRST, SECOND)))
+    means = vo.mean_context(_contexts(spark, sf_dir, [TARGET, FIRST, SECOND]))
     return vo.closer_of(means, TARGET, FIRST, SECOND)

@@ -1,13 +1,20 @@
-"""Session helpers: building one, spreading small scans, cutting lineage."""
+"""Session helpers: building one, shipping the package, cutting lineage through the shared folder."""
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Tests and the bench read tables of one row group on all cores; a cluster never sets this.
+SPREAD = "lexloom.spread"
+
 _own_folders: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "lexloom", cores: str | int = "*", **conf: str) -> SparkSession:
@@ -20,6 +27,7 @@ def build_session(app: str = "lexloom", cores: str | int = "*", **conf: str) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.driver.memory": "12g",
+        SPREAD: "true",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -31,19 +39,33 @@ def build_session(app: str = "lexloom", cores: str | int = "*", **conf: str) ->
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-split a scan that has fewer partitions than there are cores.
+    """A scan as it is; only in sessions of :func:`build_session` its rows are dealt out to all cores.
 
-    A scan with enough partitions is returned as it is, so large inputs are never
-    shuffled here. Splitting by the row key lets a later group-by on that key reuse it.
+    The small test tables are one row group, which one task would read. A session without that setting
+    never shuffles texts here.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.sparkSession.conf.get(SPREAD, "false") != "true":
         return df
-    return df.repartition(cores, *keys)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the executors, once for each application, so that workers can import it from anywhere."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="lexloom-package-")
+    atexit.register(shutil.rmtree, folder, True)
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "lexloom"), "zip", root, "lexloom"))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that every executor can reach, as named by ``spark.checkpoint.dir``."""
+    """The folder that every executor can reach, as named by ``spark.checkpoint.dir``.
+
+    Where it is unset a local session gets a folder of its own, removed when Python ends; on a cluster that is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
@@ -52,16 +74,28 @@ def shared_folder(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _own_folders:
         _own_folders[app] = tempfile.mkdtemp(prefix="lexloom-")
+        atexit.register(shutil.rmtree, _own_folders[app], True)
     return _own_folders[app]
 
 
+def _tables_of(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/lexloom-{spark.sparkContext.applicationId}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to a table in the shared folder and continue from it.
 
     Later stages then survive lost executors without recomputing what came before, and Spark
-    knows the table's true size when it decides on broadcasts.
+    knows the table's true size when it decides on broadcasts. The tables stay until
+    :func:`clean_up`, as frames that read them may still be run.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/lexloom-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = f"{_tables_of(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove the tables that this application has cut its lineage with; frames on them can't be run any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(_tables_of(spark))
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

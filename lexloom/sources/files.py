@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexloom.functions.text import ws_tokens
-from lexloom.operators.frames import unnest
+from lexloom.operators.frames import checked_join, unnest
 
 CATALOG_SCHEMA = "id string, title string, artist string"
 VECTOR_SCHEMA = "key string, vec array<float>"
@@ -26,15 +26,22 @@ def sequences_from_text(df: DataFrame, source: str, text: str, skip: int = 2) ->
 
 
 def read_sequences(spark: SparkSession, path: str, skip: int = 2) -> DataFrame:
-    """Sequence files, one sequence per line, ``skip`` header lines in each file.
+    """Sequence files, one sequence per line, without the first ``skip`` (header) lines of each file.
 
-    A file is one input row, so a file larger than a task can hold must be split into parts
-    before (every part then carries its own header lines).
+    Result: ``(source, block_start, line, items)``; the first three order the lines of a file. Large files are
+    read split by split: ``line`` counts inside a task, and headers are found by their place in a
+    file's first split, which must hold them.
     """
-    files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("source"), "value"
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("source"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
     )
-    return sequences_from_text(files, "source", "value", skip)
+    heads = lines.filter(F.col("block_start") == 0).groupBy("source").agg(F.min("line").alias("_first"))
+    header = (F.col("block_start") == 0) & (F.col("line") - F.col("_first") < skip)
+    kept = checked_join(lines, heads, "source", by="line", how="left").filter(~F.coalesce(header, F.lit(False)))
+    return kept.select("source", "block_start", "line", ws_tokens("value").alias("items"))
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:

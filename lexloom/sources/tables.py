@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions.vectors import softmax
 from lexloom.operators.sequences import ordered_positions
-from lexloom.session import spread
+from lexloom.session import ship_package, spread
 
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
@@ -24,6 +24,7 @@ SCHEMAS = {
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -48,7 +49,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The documents, over all cores: work per row is heavy and small files are one partition."""
+    """The documents; in test and bench sessions over all cores."""
     return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", *columns), "doc_id")
 
 

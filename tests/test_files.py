@@ -4,7 +4,7 @@ import pytest
 
 from lexloom.operators import frames as fr
 from lexloom.operators.batches import map_batches, score_with_status
-from lexloom.operators.chat import assemble_messages, render_chat
+from lexloom.operators.chat import chat_lines
 from lexloom.operators.sequences import drop_short
 from lexloom.sources import files as fl
 
@@ -12,12 +12,27 @@ from lexloom.sources import files as fl
 def test_sequence_files_skip_headers_per_file(spark, tmp_path):
     (tmp_path / "one.txt").write_text("meta1\nmeta2\n1 2 3 \n\n7\n4 5\n")
     (tmp_path / "two.txt").write_text("m\nm\n8 9")
-    rows = drop_short(fl.read_sequences(spark, str(tmp_path))).orderBy("source", "line_no").collect()
-    assert [(r["source"].rsplit("/", 1)[1], r["line_no"], r["items"]) for r in rows] == [
-        ("one.txt", 2, ["1", "2", "3"]),
-        ("one.txt", 5, ["4", "5"]),
-        ("two.txt", 2, ["8", "9"]),
-    ]
+    rows = drop_short(fl.read_sequences(spark, str(tmp_path))).orderBy("source", "block_start", "line").collect()
+    assert [(r["source"].rsplit("/", 1)[1], r["items"]) for r in rows] == [
+        ("one.txt", ["1", "2", "3"]), ("one.txt", ["4", "5"]), ("two.txt", ["8", "9"]),
+    ]
+
+
+def test_large_sequence_files_are_split(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.txt").write_text("header\nheader\n" + "".join(f"{name}{k} x\n" for k in range(2000)))
+    sizes = {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        frame = fl.read_sequences(spark, str(tmp_path))
+        assert frame.select("source", "block_start").distinct().count() >= 6
+        rows = frame.orderBy("source", "block_start", "line").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [r["items"] for r in rows] == [[f"{name}{k}", "x"] for name in ("a", "b") for k in range(2000)]
 
 
 def test_catalog_file(spark, tmp_path):
@@ -72,25 +87,32 @@ def test_ranking_and_preview(spark):
     assert [r["k"] for r in fr.preview(frame, 2, "k").collect()] == ["a", "b"]
     best = fr.argmax_rows(spark.createDataFrame([("x", 2, 1.0), ("x", 1, 1.0)], "d string, l int, s double"), ["d"], "l", "s")
     assert tuple(best.first()) == ("x", 1, 1.0)
+    named = spark.createDataFrame([("x", "b", 2.0), ("x", "a", 2.0), ("x", "c", 1.0)], "d string, l string, s double")
+    assert tuple(fr.argmax_rows(named, ["d"], "l", "s").first()) == ("x", "a", 2.0)
+
+
+def test_unnest_keeps_null_elements(spark):
+    frame = spark.createDataFrame([(1, ["a", None, "b"]), (2, []), (3, None)], "k int, t array<string>")
+    assert [r["token"] for r in fr.unnest(frame, "t", "k").collect()] == ["a", None, "b"]
+    assert [(r["pos"], r["token"]) for r in fr.unnest(frame, "t", "k", pos="pos").collect()] == [(0, "a"), (1, None), (2, "b")]
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-def test_salted_join_equals_plain_join(spark, how, monkeypatch):
-    monkeypatch.setattr(fr, "_below_broadcast_threshold", lambda df: False)
+def test_salted_and_checked_joins_equal_plain_join(spark, how):
     left = spark.range(500).selectExpr("id AS k", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE cast(id % 40 AS string) END AS w")
     right = spark.range(20).selectExpr("cast(id AS string) AS w", "id AS v").union(spark.sql("SELECT 'hot', 99L"))
-    plain, salted = left.join(right, "w", how), fr.salted_join(left, right, "w", by="k", how=how)
-    assert sorted(map(repr, salted.select(plain.columns).collect())) == sorted(map(repr, plain.collect()))
+    plain = left.join(right, "w", how)
+    want = sorted(map(repr, plain.collect()))
+    for joined in (fr.salted_join(left, right, "w", "k", how), fr.checked_join(left, right, "w", "k", how), fr.checked_join(left, right, "w", "k", how, most=5)):
+        assert sorted(map(repr, joined.select(plain.columns).collect())) == want
 
 
-def test_chat_rendering_in_blocks(spark):
-    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(5)] + [(2, 0, "system", "s")]
+def test_chat_lines(spark):
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(2500)] + [(2, 0, "system", "s")]
     frame = spark.createDataFrame(rows, "conv_id int, turn bigint, role string, text string").repartition(3)
-    whole = {r["conv_id"]: r["prompt"] for r in render_chat(assemble_messages(frame)).collect()}
-    assert whole[2] == "<|system|>s\n<|assistant|>"
-    assert whole[1].startswith("<|user|>m0\n<|assistant|>m1\n") and whole[1].endswith("m4\n<|assistant|>")
-    parts = render_chat(assemble_messages(frame, block=2)).filter("conv_id = 1").orderBy("block").collect()
-    assert "\n".join(r["prompt"] for r in parts) == whole[1]
+    lines = {c: [r["line"] for r in chat_lines(frame).where(f"conv_id = {c}").orderBy("turn").collect()] for c in (1, 2)}
+    assert lines[2] == ["<|system|>s", "<|assistant|>"]
+    assert len(lines[1]) == 2501 and lines[1][:2] == ["<|user|>m0", "<|assistant|>m1"] and lines[1][-1] == "<|assistant|>"
 
 
 def test_map_batches_builds_once_and_keeps_rows(spark):

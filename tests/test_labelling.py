@@ -118,8 +118,8 @@ def test_tfidf_against_plain_python(spark):
     label_rows = spark.createDataFrame(list(labels.items()), "label string, text string")
     terms = en.term_counts(docs)
     idf = en.fit_idf(terms.filter("doc_id < 3"), F.lit(3))
-    label_w = en.weigh_terms(en.term_counts(label_rows, key="label"), idf, key="label")
-    got = {(r["doc_id"], r["label"]): r["sim"] for r in en.tfidf_cosine(en.weigh_terms(terms, idf), label_w).collect()}
+    label_w = en.weigh_few_terms(en.term_counts(label_rows, key="label"), idf)
+    got = {(r["doc_id"], r["label"]): r["sim"] for r in en.tfidf_cosine(docs, en.weigh_terms(terms, idf), label_w).collect()}
     df = Counter(t for i in range(3) for t in set(texts[i].split()))
     weight = {t: math.log(4 / (n + 1)) + 1 for t, n in df.items()}
 
@@ -131,8 +131,8 @@ def test_tfidf_against_plain_python(spark):
         for name, label in labels.items():
             a, b = vector(text), vector(label)
             d = sum(a[t] * b[t] for t in a if t in b)
-            if d:
-                want[i, name] = d / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+            size = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+            want[i, name] = d / size if d else 0.0
     assert got == pytest.approx(want)
 
 

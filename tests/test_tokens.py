@@ -30,32 +30,31 @@ def test_vocab_size_and_min_count(docs):
     assert tk.build_vocab(docs, size=10, min_count=2).count() == 6
 
 
-@pytest.mark.parametrize("size", [10, tk.MAX_BROADCAST_VOCAB + 1])
-def test_encode_decode_round_trip(docs, vocab, size, monkeypatch):
-    monkeypatch.setattr("lexloom.operators.frames._below_broadcast_threshold", lambda df: False)
-    encoded = tk.encode(docs, vocab, size).cache()
+@pytest.mark.parametrize("most", [3, tk.SENT_VOCAB])
+def test_encode_decode_round_trip(docs, vocab, most):
+    encoded = tk.encode(docs, vocab, most=most).cache()
     ids = {r["doc_id"]: r["ids"] for r in encoded.collect()}
     assert ids[0] == [2, 4, 8, 3] and ids[2] == [2, 3] and ids[4] == [2, 3]
     assert ids[3] == [2, 4, 2, 5, 3]
-    back = {r["doc_id"]: r["text"] for r in tk.decode(encoded, vocab, size).collect()}
+    back = {r["doc_id"]: r["text"] for r in tk.decode(encoded, vocab, most=most).collect()}
     for i in (0, 1, 2, 4):
         assert back[i] == " ".join(TEXTS[i].split())
-    whole = {r["doc_id"]: r["text"] for r in tk.decode(encoded, vocab, size, skip_special=False).collect()}
+    whole = {r["doc_id"]: r["text"] for r in tk.decode(encoded, vocab, skip_special=False, most=most).collect()}
     assert whole[0] == "[CLS] Hello World [SEP]"
 
 
 def test_unknown_tokens_and_ids(spark, docs, vocab):
     other = spark.createDataFrame([(9, "Hello Mars")], "doc_id int, text string")
-    encoded = tk.encode(other, vocab, 10)
+    encoded = tk.encode(other, vocab)
     assert encoded.first()["ids"] == [2, 4, 1, 3]
-    assert tk.decode(encoded, vocab, 10).first()["text"] == "Hello [UNK]"
+    assert tk.decode(encoded, vocab).first()["text"] == "Hello [UNK]"
     rows = spark.createDataFrame([(0, 4), (1, 999)], "pos int, id int")
-    got = {r["pos"]: r["token"] for r in tk.lookup_tokens(rows, vocab, 10).collect()}
+    got = {r["pos"]: r["token"] for r in tk.lookup_tokens(rows, vocab).collect()}
     assert got == {0: "Hello", 1: "[UNK]"}
 
 
 def test_padding_and_mask(docs, vocab):
-    encoded = tk.encode(docs.filter("doc_id < 2"), vocab, 10).withColumn("batch", F.lit(1))
+    encoded = tk.encode(docs.filter("doc_id < 2"), vocab).withColumn("batch", F.lit(1))
     rows = {r["doc_id"]: r for r in tk.pad_batch(encoded, "batch").collect()}
     assert rows[0]["ids"] == [2, 4, 8, 3, 0, 0] and rows[0]["mask"] == [1, 1, 1, 1, 0, 0]
     assert 0 not in rows[1]["mask"]

@@ -193,3 +193,24 @@ def test_closer_label(spark):
         vc.closer_label(F.lit(0.5), F.lit(0.5), "a", "b"), vc.closer_label(F.lit(0.6), F.lit(0.5), "a", "b")
     ).first()
     assert tuple(row) == ("b", "a")
+
+
+def test_vectors_of_other_lengths_and_nulls_are_no_match(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (2, [1.0]), (3, None), (4, [0.0, 2.0]), (5, [None, 1.0]), (6, [0.0, 0.0])]
+    vecs = spark.createDataFrame(rows, "key bigint, vec array<double>")
+    labels = spark.createDataFrame([("x", [1.0, 0.0]), ("y", [0.0, 1.0]), ("z", None)], "label string, vec array<double>")
+    got = {(r["key"], r["label"]): r["sim"] for r in vo.cross_score(vecs, labels).collect()}
+    assert {k: v for k, v in got.items() if v is not None} == {(4, "x"): 0.0, (4, "y"): 1.0, (6, "x"): 0.0, (6, "y"): 0.0}
+    assert len(got) == 12
+    near = vo.most_similar_to_vector(vecs, labels.withColumnRenamed("label", "query"), k=5).collect()
+    assert {r["key"] for r in near} == {4, 6}
+    with pytest.raises(ValueError):
+        vo.cross_score(vecs, vecs.withColumnRenamed("key", "label").where("vec is not null"))
+
+
+def test_many_queries_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vo, "BLOCK_VECTORS", 300)
+    vecs = spark.range(1000).selectExpr("id AS key", "array(cast(cos(id) as double), cast(sin(id) as double)) AS vec")
+    queries = vecs.selectExpr("key AS query", "vec")
+    best = vo.most_similar_to_vector(vecs, queries, k=1).collect()
+    assert len(best) == 1000 and sum(r["sim"] > 0.999999 for r in best) == 1000
