@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.arrays import pieces, utf8
+from lexloom.llm.arrays import as_binary, per_row, pieces, utf8
 
 
 def digests_of(data: np.ndarray, at: np.ndarray) -> list[bytes]:
@@ -23,39 +23,34 @@ def tags_of(digests: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(digests), np.int64)[::2]
 
 
-def merged_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs covered by the given spans, in order."""
-    if not len(starts):
-        return starts, ends
-    order = np.argsort(starts, kind="stable")
-    starts, ends = starts[order], np.maximum.accumulate(ends[order])
-    fresh = np.append(True, starts[1:] > ends[:-1])
-    last = np.append(np.flatnonzero(fresh)[1:] - 1, len(starts) - 1)
-    return starts[fresh], ends[last]
-
-
 def _cut(length: int):
     """Applies the spans that carry the text's tag; an end below zero stands for a later copy of a whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
             data, at = utf8(piece.column("text"))
-            tags = tags_of(digests_of(data, at)).tolist()
-            out: list[tuple] = []
-            for tag, found, a, b in zip(tags, piece.column("spans").to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
-                own = [(x["start"], x["end"]) for x in found or () if x["tag"] == tag]
-                if any(end < 0 for _, end in own):
-                    own = [(0, b - a)] if b - a >= length else []
-                pairs = np.array(own, np.int64).reshape(-1, 2)
-                starts, ends = merged_spans(pairs[:, 0], pairs[:, 1])
-                gone = np.zeros(b - a + 1, np.int8)
-                gone[starts] += 1
-                gone[ends] -= 1
-                left = data[a:b][np.cumsum(gone[:-1]) == 0] if len(starts) else data[a:b]
-                out.append((b - a, b - a - len(left), len(starts), hashlib.sha256(np.ascontiguousarray(left)).hexdigest(), left.tobytes()))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+            size = np.diff(at)
+            lists = piece.column("spans")
+            row = np.repeat(np.arange(piece.num_rows), lists.value_lengths().fill_null(0).to_numpy())
+            tag, start, end = (lists.flatten().field(name).to_numpy() for name in ("tag", "start", "end"))
+            own = tags_of(digests_of(data, at))[row] == tag
+            row, start, end = row[own], start[own].astype(np.int64), end[own].astype(np.int64)
+            whole = end < 0
+            start = np.where(whole, 0, start)
+            end = np.where(whole, np.where(size[row] >= length, size[row], 0), end)
+            # one count of open spans over all texts: every span ends in its own text
+            change = np.bincount(start + at[row], minlength=len(data) + 1) - np.bincount(end + at[row], minlength=len(data) + 1)
+            gone = np.cumsum(change)[: len(data)] > 0
+            opens = gone.copy()
+            opens[1:] &= ~gone[:-1]
+            lead = at[:-1][size > 0]
+            opens[lead] = gone[lead]
+            left = data[~gone]
+            removed = per_row(gone, at)
+            cuts = np.concatenate([[0], np.cumsum(size - removed)])
+            sha = [hashlib.sha256(left[a:b]).hexdigest() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
             yield pa.record_batch(
-                [piece.column("doc_id"), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))],
+                [piece.column("doc_id"), pa.array(size), pa.array(removed), pa.array(per_row(opens, at)), pa.array(sha), as_binary(left, cuts)],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes"],
             )
 

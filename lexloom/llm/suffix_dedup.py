@@ -39,7 +39,8 @@ class Repeats:
     gram: int = 20
     held: int = 1 << 21
     table_bits: int = 1 << 30
-    part_bits: int = 1 << 20
+    part_bits: int = 1 << 22
+    known_copies: int = 1 << 21
     part_bytes: int = 16 << 20
     shard_bytes: int = 2 << 20
     queue_items: int = 1 << 20
@@ -77,37 +78,40 @@ def anchors(data: np.ndarray, at: np.ndarray, spec: Repeats):
     return place, grams[place], least
 
 
-class _FirstCopies:
-    """Skips a text that the task has seen with the same or a smaller id."""
+def _row_key(ids: np.ndarray, tags: np.ndarray) -> np.ndarray:
+    return combine(ids.view(np.uint64), tags.view(np.uint64)).view(np.int64)
 
-    def __init__(self) -> None:
-        self.least: dict[bytes, int] = {}
 
-    def fresh(self, digests: list[bytes], ids: list[int | None]) -> np.ndarray:
-        out = np.zeros(len(digests), dtype=bool)
-        for k, (digest, i) in enumerate(zip(digests, ids, strict=True)):
-            if i is not None and i < self.least.get(digest, i + 1):
-                self.least[digest] = i
-                out[k] = True
+class _FirstCopies:
+    """Skips a text that is known as a later copy, or that the task has seen with the same or a smaller id."""
+
+    def __init__(self, later) -> None:
+        self.later = later.value
+        self.least: dict[int, int] = {}
+
+    def fresh(self, tags: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        keys = _row_key(ids, tags)
+        place = np.minimum(np.searchsorted(self.later, keys), max(len(self.later) - 1, 0))
+        out = self.later[place] != keys if len(self.later) else np.ones(len(keys), dtype=bool)
+        for k in np.flatnonzero(out).tolist():
+            tag, i = int(tags[k]), int(ids[k])
+            out[k] = i < self.least.get(tag, i + 1)
+            if out[k]:
+                self.least[tag] = i
         return out
 
 
-def _only(piece: pa.RecordBatch, rows: np.ndarray) -> pa.RecordBatch:
-    return piece.filter(pa.array(rows))
-
-
-def _rows(batches: Iterator[pa.RecordBatch]):
-    """Pieces with the first copies of the task: ids, digests, bytes and offsets."""
-    copies = _FirstCopies()
+def _rows(batches: Iterator[pa.RecordBatch], later):
+    """Pieces with the first copies of the task: ids, tags, bytes and offsets."""
+    copies = _FirstCopies(later)
     for piece in pieces(batches, "text"):
-        digests = digests_of(*utf8(piece.column("text")))
-        fresh = copies.fresh(digests, piece.column("doc_id").to_pylist())
-        kept = _only(piece, fresh)
-        tags = tags_of([d for d, f in zip(digests, fresh, strict=True) if f])
-        yield kept.column("doc_id").to_numpy(zero_copy_only=False), tags, *utf8(kept.column("text"))
+        tags = tags_of(digests_of(*utf8(piece.column("text"))))
+        ids = piece.column("doc_id").to_numpy()
+        fresh = copies.fresh(tags, ids)
+        yield ids[fresh], tags[fresh], *utf8(piece.column("text").filter(pa.array(fresh)))
 
 
-def _anchor_blocks(spec: Repeats, parts: int):
+def _anchor_blocks(spec: Repeats, parts: int, later):
     """Per part the anchors of a task, once each, with a flag on those that two of its texts have."""
 
     def flush(hashes: list[np.ndarray], owners: list[np.ndarray]):
@@ -131,7 +135,7 @@ def _anchor_blocks(spec: Repeats, parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, owners, held, base = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0, 0
-        for ids, _, data, at in _rows(batches):
+        for ids, _, data, at in _rows(batches, later):
             place, h, _ = anchors(data, at, spec)
             hashes.append(h)
             owners.append(base + np.searchsorted(at, place, "right"))
@@ -163,12 +167,12 @@ def _mark(bits: int):
     return run
 
 
-def _surroundings(spec: Repeats, parts: int, bits: int, table, with_bytes: bool):
+def _surroundings(spec: Repeats, parts: int, bits: int, table, later, with_bytes: bool):
     """The windows around each marked anchor: as occurrences, or with their bytes, distinct ones once per task."""
 
     def found(batches):
         marks = table.value
-        for ids, tags, data, at in _rows(batches):
+        for ids, tags, data, at in _rows(batches, later):
             place, h, least = anchors(data, at, spec)
             part = (h >> np.uint64(32)) % np.uint64(parts)
             bit = part.astype(np.int64) * bits + (h.astype(np.uint32) % np.uint32(bits)).astype(np.int64)
@@ -194,13 +198,17 @@ def _surroundings(spec: Repeats, parts: int, bits: int, table, with_bytes: bool)
         held: dict[int, list] = {}
         size = 0
         for ids, _, _, start, stop, h, sid, data in found(batches):
-            for i, a, b, anchor, s in zip(ids.tolist(), start.tolist(), stop.tolist(), h.tolist(), sid.tolist(), strict=True):
+            order = np.lexsort((ids, sid))
+            first, length = run_lengths(sid[order])
+            low, high = order[first], order[first + length - 1]
+            raw = data.tobytes()
+            for s, a, b, anchor, i, j in zip(*(x.tolist() for x in (sid[low], start[low], stop[low], h[low], ids[low], ids[high])), strict=True):
                 known = held.get(s)
                 if known is None:
-                    held[s] = [anchor, data[a:b].tobytes(), i, i]
+                    held[s] = [anchor, raw[a:b], i, j]
                     size += b - a + 200
                 else:
-                    known[2], known[3] = min(known[2], i), max(known[3], i)
+                    known[2], known[3] = min(known[2], i), max(known[3], j)
             if size > 16 * spec.held:
                 yield _distinct_batch(held)
                 held, size = {}, 0
@@ -218,32 +226,86 @@ def _distinct_batch(held: dict[int, list]) -> pa.RecordBatch:
     )
 
 
-def _shard(spec: Repeats):
-    """Sorts the suffixes of a shard and gives for each surrounding the runs of windows with an earlier document."""
+RUNS = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32()), ("first", pa.int64())]))
+
+
+def _uniform(sids: np.ndarray, sizes: np.ndarray, least: np.ndarray, spec: Repeats) -> pa.RecordBatch:
+    """Surroundings that are their anchor's only ones: all their windows stand first where they themselves do."""
+    runs = pa.StructArray.from_arrays(
+        [pa.array(np.zeros(len(sids), np.int32)), pa.array((sizes - spec.length).astype(np.int32)), pa.array(least)], names=["from", "to", "first"]
+    )
+    return pa.record_batch([pa.array(sids), pa.ListArray.from_arrays(pa.array(np.arange(len(sids) + 1, dtype=np.int32)), runs)], names=["sid", "runs"])
+
+
+class _Shard:
+    """The text that a shard has to sort: different surroundings of one anchor, each once, written as they come."""
+
+    def __init__(self, folder: Path) -> None:
+        self.folder, self.size = folder, 0
+        self.sids: list[int] = []
+        self.least: list[int] = []
+        self.most: list[int] = []
+        self.starts: list[int] = []
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        """All rows of some anchors."""
+        index: dict[int, int] = {}
+        with (self.folder / "text").open("ab") as out:
+            for sid, text, lo, hi in zip(*(batch.column(c).to_pylist() for c in ("sid", "bytes", "least", "most")), strict=True):
+                k = index.setdefault(sid, len(self.sids))
+                if k == len(self.sids):
+                    (np.frombuffer(text + b"\xff", np.uint8).astype(np.int16) + 1).tofile(out)
+                    self.sids.append(sid)
+                    self.starts.append(self.size)
+                    self.size += len(text) + 1
+                    self.least.append(lo)
+                    self.most.append(hi)
+                else:
+                    self.least[k], self.most[k] = min(self.least[k], lo), max(self.most[k], hi)
+
+    def runs(self, spec: Repeats):
+        if self.sids:
+            with (self.folder / "text").open("ab") as out:
+                np.zeros(1, np.int16).tofile(out)
+            yield from _runs(self.folder, self.size, np.array(self.starts), np.array(self.least), np.array(self.most), np.array(self.sids), spec)
+
+
+def _sort_shard(spec: Repeats):
+    """Gives for each surrounding the runs of windows with an earlier document; rows come ordered by anchor.
+
+    An anchor with one surrounding needs no sorting: a window that it has can have no other anchor.
+    """
+
+    def settle(batch: pa.RecordBatch, shard: _Shard):
+        anchor, sid = batch.column("anchor").to_numpy(), batch.column("sid").to_numpy()
+        first, length = run_lengths(anchor)
+        same = np.minimum.reduceat(sid, first) == np.maximum.reduceat(sid, first)
+        least = np.minimum.reduceat(batch.column("least").to_numpy(), first)
+        most = np.maximum.reduceat(batch.column("most").to_numpy(), first)
+        useful = first[same & (least < most)]
+        if len(useful):
+            sizes = np.diff(utf8(batch.column("bytes"))[1])
+            yield _uniform(sid[useful], sizes[useful], least[same & (least < most)], spec)
+        mixed = np.repeat(~same, length)
+        if mixed.any():
+            shard.add(batch.filter(pa.array(mixed)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with tempfile.TemporaryDirectory() as scratch:
-            folder = Path(scratch)
-            index: dict[int, int] = {}
-            least: list[int] = []
-            most: list[int] = []
-            starts: list[int] = []
-            size = 0
-            with (folder / "text").open("wb") as out:
-                for batch in batches:
-                    for sid, text, lo, hi in zip(*(batch.column(c).to_pylist() for c in ("sid", "bytes", "least", "most")), strict=True):
-                        k = index.setdefault(sid, len(starts))
-                        if k == len(starts):
-                            (np.frombuffer(text + b"\xff", np.uint8).astype(np.int16) + 1).tofile(out)
-                            starts.append(size)
-                            size += len(text) + 1
-                            least.append(lo)
-                            most.append(hi)
-                        else:
-                            least[k], most[k] = min(least[k], lo), max(most[k], hi)
-                np.zeros(1, np.int16).tofile(out)
-            if starts:
-                yield from _runs(folder, size, np.array(starts), np.array(least), np.array(most), np.array(list(index)), spec)
+            shard, waiting = _Shard(Path(scratch)), None
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                whole = batch if waiting is None else pa.concat_batches([waiting, batch])
+                # the last anchor may go on in the next batch
+                anchor = whole.column("anchor").to_numpy()
+                cut = int(np.flatnonzero(anchor != anchor[-1])[-1]) + 1 if anchor[0] != anchor[-1] else 0
+                if cut:
+                    yield from settle(whole.slice(0, cut), shard)
+                waiting = whole.slice(cut)
+            if waiting is not None:
+                yield from settle(waiting, shard)
+            yield from shard.runs(spec)
 
     return run
 
@@ -304,36 +366,43 @@ def _tagger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([piece.column("doc_id"), pa.array(digests, pa.binary()), pa.array(tags)], names=["doc_id", "digest", "tag"])
 
 
-def _later_copies(docs: DataFrame) -> DataFrame:
+def later_copies(docs: DataFrame) -> DataFrame:
     """``(doc_id, tag)`` of texts that a smaller ``doc_id`` has as well, whole."""
-    rows = docs.mapInArrow(_tagger, "doc_id bigint, digest binary, tag bigint")
+    rows = docs.select("doc_id", "text").mapInArrow(_tagger, "doc_id bigint, digest binary, tag bigint")
     firsts = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     salted = firsts.select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     salt = F.pmod("doc_id", F.lit(SALTS)).cast("int")
     return rows.withColumn("salt", salt).join(salted, ["digest", "salt"]).where("doc_id > first").select("doc_id", "tag")
 
 
-def repeated_spans(docs: DataFrame, spec: Repeats = Repeats()) -> DataFrame:
+def repeated_spans(docs: DataFrame, copies: DataFrame, spec: Repeats = Repeats()) -> DataFrame:
     """``(doc_id, tag, start, end)``: bytes covered by a string that a smaller ``doc_id`` has; exact copies aside.
 
-    ``tag`` tells texts of one ``doc_id`` apart. Spans overlap; later exact copies may be missing, being whole repeats.
+    ``tag`` tells texts of one ``doc_id`` apart. Spans overlap. ``copies`` are the whole repeats, a written table; they
+    are not looked at again if their number is within ``known_copies``, and are sorted like other texts if it isn't.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
+    keys = np.zeros(0, np.int64)
+    if copies.limit(spec.known_copies + 1).count() <= spec.known_copies:
+        table = copies.select("doc_id", "tag").toArrow()
+        keys = np.sort(_row_key(table.column("doc_id").to_numpy(), table.column("tag").to_numpy()))
+    later = spark.sparkContext.broadcast(keys)
     n_bytes = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     parts = max(1, -(-n_bytes // spec.part_bytes))
     bits = int(max(64, min(spec.part_bits, spec.table_bits // parts) // 8 * 8))
-    blocks = docs.mapInArrow(_anchor_blocks(spec, parts), "part int, seen binary, several binary")
+    blocks = docs.mapInArrow(_anchor_blocks(spec, parts, later), "part int, seen binary, several binary")
     tables = blocks.repartition(parts, "part").mapInArrow(_mark(bits), "part int, bits binary").toArrow()
     marks = np.zeros(parts * bits // 8, np.uint8)
     for part, table in zip(tables.column("part").to_pylist(), tables.column("bits").to_pylist(), strict=True):
         marks[part * bits // 8 : (part + 1) * bits // 8] = np.frombuffer(table, np.uint8)
     shared = spark.sparkContext.broadcast(marks)
-    distinct = docs.mapInArrow(_surroundings(spec, parts, bits, shared, True), "anchor bigint, sid bigint, bytes binary, least bigint, most bigint")
+    distinct = docs.mapInArrow(_surroundings(spec, parts, bits, shared, later, True), "anchor bigint, sid bigint, bytes binary, least bigint, most bigint")
     shards = max(1, -(-n_bytes // (4 * spec.shard_bytes)))
-    runs = distinct.repartition(shards, "anchor").mapInArrow(_shard(spec), "sid bigint, runs array<struct<from:int,to:int,first:bigint>>")
+    dealt = distinct.repartition(shards, "anchor").sortWithinPartitions("anchor")
+    runs = dealt.mapInArrow(_sort_shard(spec), "sid bigint, runs array<struct<from:int,to:int,first:bigint>>")
     runs = cut_lineage(runs)
-    places = docs.mapInArrow(_surroundings(spec, parts, bits, shared, False), "sid bigint, doc_id bigint, tag bigint, at int")
+    places = docs.mapInArrow(_surroundings(spec, parts, bits, shared, later, False), "sid bigint, doc_id bigint, tag bigint, at int")
     hits = places.join(runs, "sid").select("doc_id", "tag", "at", F.explode(F.filter("runs", lambda r: r["first"] < F.col("doc_id"))).alias("r"))
     return hits.select("doc_id", "tag", (F.col("at") + F.col("r.from")).alias("start"), (F.col("at") + F.col("r.to") + spec.length).alias("end"))
 
@@ -348,5 +417,6 @@ def remove_repeats(docs: DataFrame, spec: Repeats = Repeats()) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     known = docs.where("doc_id is not null and text is not null")
-    copies = _later_copies(known).select("doc_id", "tag", F.lit(0).alias("start"), F.lit(-1).alias("end"))
-    return cut_out(docs, repeated_spans(docs, spec).union(copies), spec.length)
+    copies = cut_lineage(later_copies(known))
+    whole = copies.select("doc_id", "tag", F.lit(0).alias("start"), F.lit(-1).alias("end"))
+    return cut_out(docs, repeated_spans(docs, copies, spec).union(whole), spec.length)
