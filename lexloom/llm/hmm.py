@@ -28,16 +28,21 @@ END = -1  # key of the end token; words have other keys
 
 @dataclass(frozen=True)
 class Chain:
-    """States, symbols of single words, hashed classes, rounds of Baum-Welch, seed and smoothing of its counts."""
+    """States, symbols of single words, hashed classes, rounds of Baum-Welch, seed and smoothing of its counts.
 
-    states: int = 8
+    Texts longer than ``segment`` tokens train as consecutive segments, so that many of them advance together;
+    they are scored whole.
+    """
+
+    states: int = 6
     frequent: int = 1 << 14
     classes: int = 1 << 10  # a power of two
     known: int = 1 << 20  # words whose counts every task has at hand
-    rounds: int = 4
+    rounds: int = 3
     seed: int = 5
     prior: float = 1.0
     held_words: int = 1 << 20
+    segment: int = 256
 
 
 def token_keys(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -206,40 +211,43 @@ def forward(model: Model, table: np.ndarray, length: np.ndarray, keep: bool):
     """log10 likelihood of every column by the scaled recursion; with ``keep`` the scaled alphas and scales as well."""
     steps, n = table.shape
     live = np.searchsorted(-length, -np.arange(1, steps + 1), "right")
-    alphas = np.zeros((steps, n, len(model.start))) if keep else None
-    scales = np.ones((steps, n))
+    alphas = np.zeros((steps, n, len(model.start)), model.emit.dtype) if keep else None
+    scales = np.ones((steps, n), model.emit.dtype)
     alpha = np.broadcast_to(model.start, (n, len(model.start)))
+    emitted = model.emit[table] if keep else None
     for t in range(steps):
         m = live[t]
-        now = (alpha[:m] @ model.move if t else alpha[:m]) * model.emit[table[t, :m]]
+        now = (alpha[:m] @ model.move if t else alpha[:m]) * (emitted[t, :m] if keep else model.emit[table[t, :m]])
         scale = now.sum(axis=1)
         alpha = now / scale[:, None]
         scales[t, :m] = scale
         if keep:
             alphas[t, :m] = alpha
-    return np.log10(scales).sum(axis=0), alphas, scales, live
+    return np.log10(scales).sum(axis=0, dtype=np.float64), alphas, scales, live, emitted
 
 
-def expected_counts(model: Model, table: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, transition and emission counts that the model expects of the columns."""
-    _, alphas, scales, live = forward(model, table, length, True)
+def expected_counts(
+    model: Model, table: np.ndarray, length: np.ndarray, leads: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, transition and emission counts that the model expects of the columns; starts of ``leads`` only, if given."""
+    _, alphas, scales, live, emitted = forward(model, table, length, True)
     steps, n = table.shape
     k = len(model.start)
     move = np.zeros((k, k))
     gammas = alphas  # overwritten from the end
-    beta = np.ones((n, k))
+    beta = np.ones((n, k), model.emit.dtype)
     for t in range(steps - 1, 0, -1):
         m = live[t]
-        weight = model.emit[table[t, :m]] * beta[:m] / scales[t, :m, None]
+        weight = emitted[t, :m] * beta[:m] / scales[t, :m, None]
         move += alphas[t - 1, :m].T @ weight
         gammas[t, :m] *= beta[:m]
         beta[:m] = weight @ model.move.T
     gammas[0] *= beta
     move *= model.move
     inside = np.arange(steps)[:, None] < length
-    which = table[inside]
-    emit = np.stack([np.bincount(which, gammas[..., s][inside], minlength=len(model.emit)) for s in range(k)], axis=1)
-    return gammas[0].sum(axis=0), move, emit
+    which, shares = table[inside], gammas.reshape(-1, k)[inside.ravel()]
+    emit = np.stack([np.bincount(which, shares[:, s], minlength=len(model.emit)) for s in range(k)], axis=1)
+    return (gammas[0] if leads is None else gammas[0][leads]).sum(axis=0), move, emit
 
 
 def _symbols_of(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -251,12 +259,30 @@ def _symbols_of(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 UNIT = 1 << 20
 
 
-def _expectation(shared):
+#: Bytes of symbols that are sorted by length together, and tokens of a block that advances together.
+SORTED_BYTES = 8 << 20
+BLOCK_TOKENS = 1 << 17
+
+
+def segments_of(at: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets that also cut every text after each ``most`` tokens, and whether a segment is its text's first."""
+    length = np.diff(at)
+    n = -(-length // most)
+    first = np.cumsum(n) - n
+    place = np.arange(n.sum()) - np.repeat(first, n)
+    starts = np.repeat(at[:-1], n) + place * most
+    return np.append(starts, at[-1]), place == 0
+
+
+def _expectation(shared, segment: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, total = shared.value, None
-        for piece in pieces(batches, "symbols"):
-            for _, length, table in sequence_blocks(*_symbols_of(piece)):
-                counts = np.concatenate([x.ravel() for x in expected_counts(model, table, length)])
+        # short segments need no more than single precision
+        model, total = Model(*(x.astype(np.float32) for x in vars(shared.value).values())), None
+        for piece in pieces(batches, "symbols", limit=SORTED_BYTES):
+            symbols, at = _symbols_of(piece)
+            at, leads = segments_of(at, segment)
+            for rows, length, table in sequence_blocks(symbols, at, BLOCK_TOKENS):
+                counts = np.concatenate([x.ravel() for x in expected_counts(model, table, length, leads[rows])])
                 total = counts if total is None else total + counts
         if total is not None:
             whole = np.rint(total * UNIT).astype(np.int64)
@@ -272,7 +298,7 @@ def baum_welch(train: DataFrame, unigram: np.ndarray, spec: Chain) -> Model:
     k = spec.states
     for _ in range(spec.rounds):
         shared = train.sparkSession.sparkContext.broadcast(model)
-        sums = train.select("symbols").mapInArrow(_expectation(shared), "i int, x bigint").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
+        sums = train.select("symbols").mapInArrow(_expectation(shared, spec.segment), "i int, x bigint").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
         flat = np.zeros(k + k * k + len(unigram) * k)
         flat[sums.column("i").to_numpy()] = sums.column("x").to_numpy() / UNIT
         shared.unpersist()
@@ -285,9 +311,9 @@ def baum_welch(train: DataFrame, unigram: np.ndarray, spec: Chain) -> Model:
 def _likelihood(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for piece in pieces(batches, "symbols"):
+        for piece in pieces(batches, "symbols", limit=SORTED_BYTES):
             out = np.zeros(piece.num_rows)
-            for rows, length, table in sequence_blocks(*_symbols_of(piece)):
+            for rows, length, table in sequence_blocks(*_symbols_of(piece), BLOCK_TOKENS):
                 out[rows] = forward(model, table, length, False)[0]
             yield pa.record_batch([*piece.select(["row", "doc_id", "held_out", "n_tokens", "n_near", "near_logs", "near_share"]).columns, pa.array(out)], names=["row", "doc_id", "held_out", "n_tokens", "n_near", "near_logs", "near_share", "chain"])
 
