@@ -16,18 +16,20 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     A hub with many links is aggregated per task before its shuffle.
     """
     pairs = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null and a <> b")
-    both = cut_lineage(pairs.union(pairs.select("b", "a")).distinct())
-    labels = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")))
+    ends = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")), F.struct("a", F.col("a").alias("b")), F.struct(F.col("b").alias("a"), "b")))
+    # every link both ways, and every node beside itself
+    both = cut_lineage(pairs.select(ends.alias("e")).select("e.a", "e.b").distinct())
+    labels = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")))
+    total = None
     while True:
+        # labels only fall, so an equal sum means that none has changed
+        before, total = total, labels.agg(F.sum(F.col("component").cast("decimal(38,0)"))).first()[0]
+        if total == before or total is None:
+            return labels
         heard = (
             both.join(labels.select(F.col("node").alias("b"), "component"), "b")
             .groupBy(F.col("a").alias("node"))
-            .agg(F.min("component").alias("heard"))
+            .agg(F.min("component").alias("near"))
         )
-        near = labels.join(heard, "node").select("node", F.col("component").alias("old"), F.least("component", "heard").alias("near"))
         far = labels.select(F.col("node").alias("near"), F.col("component").alias("far"))
-        step = cut_lineage(near.join(far, "near").select("node", "old", F.least("near", "far").alias("component")))
-        moved = step.where("old <> component").limit(1).count()
-        labels = step.select("node", "component")
-        if not moved:
-            return labels
+        labels = cut_lineage(heard.join(far, "near").select("node", F.least("near", "far").alias("component")))

@@ -33,20 +33,21 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def linked_components(
-    members: DataFrame, attributes: list[str], within_reach: str, confirm: Callable[[DataFrame], DataFrame], rounds: int = 5
+    members: DataFrame, attributes: list[str], within_reach: str, confirm: Callable[[DataFrame], DataFrame], rounds: int = 3
 ) -> DataFrame | None:
-    """``(node, component)`` of all nodes that a confirmed link joins; none: no link.
+    """``(node, component)`` of all nodes that a confirmed link joins; none: no candidate.
 
     ``members`` is a written table ``(bucket, node, *attributes)``; nodes that share a bucket are candidates.
     ``within_reach`` is SQL over the attributes and ``other_`` ones that every link satisfies; ``confirm`` keeps the
-    linked ones of ``(a, b)``. In each round the members outside a bucket's largest component meet a representative
-    of it; what is still in different components at last meets pair by pair, so no link between them is lost. Hot
-    buckets are aggregated per task and split by salt; rounds are cut through the shared folder.
+    linked ones of ``(a, b)``. In each round the members outside a bucket's largest known group meet a representative
+    of it and join it where they are linked; what is still in different groups at last meets pair by pair, so no
+    link between them is lost. Hot buckets are aggregated per task and split by salt; rounds are cut through the
+    shared folder.
     """
     links = tested = labels = None
-    turn, last, n_members = 0, False, members.count()
     other = [F.col(c).alias(f"other_{c}") for c in attributes]
-    while not last:
+    n_members = members.count()
+    for turn in range(rounds + 1):
         now = members.withColumn("component", F.col("node"))
         if labels is not None:
             now = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -57,22 +58,31 @@ def linked_components(
         open_buckets = parts.groupBy("bucket").agg(top.alias("top"), F.sum("n").alias("nodes"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
         open_buckets = cut_lineage(open_buckets.select("bucket", "nodes", F.col("top.component").alias("main"), "top.size", "top.member.*"))
         work = open_buckets.agg(F.sum((F.col("nodes") + F.col("size")).cast("double") * F.col("nodes"))).first()[0] or 0.0
-        last = turn == rounds or work <= 2 * n_members
         still = now.withColumn("salt", salt_of("node")).join(open_buckets.withColumn("salt", every_salt()), ["bucket", "salt"])
-        if last:
+        if turn == rounds or work <= 2 * n_members:
+            # every pair that is still open: this makes the result whole whatever the rounds have found
             one = still.select("bucket", F.col("node").alias("x"), *attributes, F.col("component").alias("c"))
             two = still.where("component <> main").select("bucket", F.col("node").alias("y"), *other, F.col("component").alias("d"), "main")
-            # members outside the main component meet it, and each other once
+            # members outside the main group meet it, and each other once
             pairs = _ordered(one.join(two, "bucket").where(F.expr(f"c <> d and (c = main or x < y) and {within_reach}")))
-        else:
-            pairs = _ordered(still.where(f"component <> main and {within_reach}").select(F.col("node").alias("x"), F.col("rep").alias("y")))
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        if pairs.limit(1).count():
-            found = cut_lineage(confirm(pairs))
-            links = found if links is None else links.union(found)
-            tested = pairs if tested is None else tested.union(pairs)
-            labels = connected_components(links)
-        turn += 1
-    return labels
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            found = cut_lineage(confirm(cut_lineage(pairs)))
+            return connected_components(found if links is None else links.union(found))
+        # one representative a round for each member: the same one in most of the buckets that a group shares
+        first = F.min(F.struct("luck", "rep", "main"))
+        met = still.where(f"component <> main and {within_reach}").groupBy(F.col("node").alias("a")).agg(first.alias("met"))
+        met = cut_lineage(met.select("a", F.col("met.rep").alias("b"), "met.main"))
+        found = cut_lineage(confirm(met.select("a", "b")))
+        joined = found.join(met, ["a", "b"]).select(F.col("a").alias("node"), F.col("main").alias("joined"))
+        named = joined.withColumnRenamed("joined", "component")
+        if labels is not None:
+            named = labels.join(joined, "node", "full").select("node", F.coalesce("joined", "component").alias("component"))
+        named = cut_lineage(named)
+        # a representative may have joined a group of its own
+        onward = named.select(F.col("node").alias("component"), F.col("component").alias("onward"))
+        labels = cut_lineage(named.join(onward, "component", "left").select("node", F.coalesce("onward", "component").alias("component")))
+        pairs = _ordered(met.select(F.col("a").alias("x"), F.col("b").alias("y")))
+        links = found if links is None else links.union(found)
+        tested = pairs if tested is None else tested.union(pairs)
+    return None

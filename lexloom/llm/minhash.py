@@ -8,7 +8,7 @@ At scale: equal shingle sets are one class before any banding, so copies cost on
 representatives are aggregated per task first; a member meets its bucket's representative in a salted join.
 Members of a bucket that already share a component are never paired again, which is what keeps a large
 group of near copies near linear; the pairs that stay open after the representative rounds are all compared,
-but for those whose own shingles (that no other candidate has) rule the similarity out.
+but for those whose own shingles (that no other candidate has) or parities rule the similarity out.
 """
 
 from __future__ import annotations
@@ -104,6 +104,26 @@ def band_keys(sig: np.ndarray, spec: Sketch) -> np.ndarray:
     return key.view(np.int64)
 
 
+PARITY = [f"parity{k}" for k in range(4)]
+
+
+def parities(h: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Which of 256 classes of shingles each set has an odd number of, as four words.
+
+    Sets differ in these bits at most as often as in shingles, which bounds their similarity from above.
+    """
+    bit = (mix(h) >> np.uint64(56)).astype(np.int64)
+    full = np.flatnonzero(np.diff(at))
+    out = []
+    for k in range(4):
+        word = np.where(bit >> 6 == k, np.uint64(1) << (bit & 63).astype(np.uint64), np.uint64(0))
+        total = np.zeros(len(at) - 1, np.uint64)
+        if len(full):
+            total[full] = np.bitwise_xor.reduceat(word, at[full])
+        out.append(total.view(np.int64))
+    return out
+
+
 def _sketcher(spec: Sketch):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
@@ -120,8 +140,8 @@ def _sketcher(spec: Sketch):
             np.cumsum(np.where(size > 0, spec.bands, 0), out=ends[1:])
             yield pa.record_batch(
                 [piece.column("doc_id"), pa.array(size, pa.int64()), pa.array(list(digest), pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel(), pa.int64()))],
-                names=["doc_id", "n_shingles", "digest", "keys"],
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel(), pa.int64())), *map(pa.array, parities(h, at))],
+                names=["doc_id", "n_shingles", "digest", "keys", *PARITY],
             )
 
     return run
@@ -166,23 +186,29 @@ def _confirm(pairs: DataFrame, sets: DataFrame, num: int) -> DataFrame:
 
 
 def _own_shingles(sets: DataFrame) -> DataFrame:
-    """``(node, own)``: how many of its shingles no other candidate has."""
+    """``(node, own)``: how many of its shingles no other candidate has; left out for ids that carry different texts."""
     shingles = sets.select("node", F.explode("set").alias("h"))
     alone = shingles.groupBy("h").agg(F.min("node").alias("node"), F.max("node").alias("other")).where("node = other")
-    return alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    of_set = F.xxhash64("set")
+    single = sets.groupBy("node").agg(F.min(of_set).alias("low"), F.max(of_set).alias("high")).where("low = high").select("node")
+    return alone.groupBy("node").agg(F.count(F.lit(1)).alias("own")).join(single, "node")
 
 
 def class_components(classes: DataFrame, docs: DataFrame, spec: Sketch) -> DataFrame:
-    """``(node, component)`` of the linked classes; ``classes`` has ``(node, n_shingles, keys)``."""
+    """``(node, component)`` of the linked classes; ``classes`` has ``(node, n_shingles, keys)`` and the parities."""
     first = cut_lineage(shared_buckets(classes.select("node", "n_shingles", F.explode("keys").alias("bucket"))))
     wanted = first.select(F.col("node").alias("doc_id")).distinct()
     sets = cut_lineage(docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(_set_writer(spec.shingle), "node bigint, set array<bigint>"))
     own = cut_lineage(_own_shingles(sets))
     members = first.join(own, "node", "left").na.fill(0, ["own"]).where(f"100 * (n_shingles - own) >= {spec.num} * n_shingles")
+    members = members.join(classes.select("node", *PARITY).join(wanted.withColumnRenamed("doc_id", "node"), "node"), "node")
     # what two sets can share at most, as neither shares its own shingles, must reach the similarity
     most = "least(n_shingles - own, other_n_shingles - other_own)"
     reach = f"100 * {most} >= {spec.num} * (n_shingles + other_n_shingles - {most})"
-    labels = linked_components(cut_lineage(members), ["n_shingles", "own"], reach, lambda pairs: _confirm(pairs, sets, spec.num))
+    # and they may not differ in more shingles than it allows
+    apart = " + ".join(f"bit_count({p} ^ other_{p})" for p in PARITY)
+    reach += f" and {100 + spec.num} * ({apart}) <= {100 - spec.num} * (n_shingles + other_n_shingles)"
+    labels = linked_components(cut_lineage(members), ["n_shingles", "own", *PARITY], reach, lambda pairs: _confirm(pairs, sets, spec.num))
     return classes.select("node", F.col("node").alias("component")).limit(0) if labels is None else labels
 
 
@@ -195,14 +221,14 @@ def near_duplicates(docs: DataFrame, spec: Sketch = Sketch()) -> DataFrame:
     An empty table gives no rows. Sets are compared as 64-bit shingle hashes in full.
     """
     docs = docs.select("doc_id", "text")
-    sketch = cut_lineage(docs.mapInArrow(_sketcher(spec), "doc_id bigint, n_shingles bigint, digest binary, keys array<bigint>"))
+    sketch = cut_lineage(docs.mapInArrow(_sketcher(spec), "doc_id bigint, n_shingles bigint, digest binary, keys array<bigint>, " + ", ".join(f"{p} bigint" for p in PARITY)))
     groups = (
         sketch.where("digest is not null")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys"), F.first("n_shingles").alias("n_shingles"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys"), F.first("n_shingles").alias("n_shingles"), F.count(F.lit(1)).alias("n"), *(F.first(p).alias(p) for p in PARITY))
     )
     groups = cut_lineage(groups)
-    labels = class_components(groups.where("node is not null").select("node", "n_shingles", "keys"), docs, spec)
+    labels = class_components(groups.where("node is not null").select("node", "n_shingles", "keys", *PARITY), docs, spec)
     # only sets that occur twice or are linked need the way back
     named = groups.select("digest", "node", "n").join(labels, "node", "left").where("n > 1 or component is not null")
     named = named.select("digest", F.coalesce("component", "node").alias("component"))
