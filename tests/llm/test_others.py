@@ -232,6 +232,17 @@ def test_repeated_lines_equal_brute_force(spark, sent):
         assert cut[d] == "\n".join(x for k, x in enumerate(text.split("\n")) if k not in got[d])
 
 
+def test_variants_inside_one_document_are_one_document(spark):
+    row = "2024-01-{:02d} 10:00:00 INFO worker finished the nightly import of all tables without errors"
+    rows = [(1, "\n".join(row.format(k) for k in range(10, 19))), (2, "a line of its own in another document\n" + row.format(30)), (3, "nothing shared")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = repeated_lines(docs.where("doc_id <> 2")).collect()
+    assert not any(r["repeated"] for r in got)
+    got = {(r["doc_id"], r["line"]): (r["repeated"], r["n_docs"]) for r in repeated_lines(docs).collect()}
+    assert got[2, 1] == (True, 2) and got[1, 0] == (False, 2) and got[1, 8] == (True, 2) and not got[2, 0][0]
+    assert not any(r["repeated"] for r in repeated_lines(docs, LineRule(min_docs=3)).collect())
+
+
 def test_line_edges(edge_docs, no_docs):
     got = remove_lines(edge_docs.withColumn("n_lines", F.lit("clash"))).collect()
     assert len(got) == edge_docs.count()
