@@ -243,6 +243,13 @@ def test_variants_inside_one_document_are_one_document(spark):
     assert not any(r["repeated"] for r in repeated_lines(docs, LineRule(min_docs=3)).collect())
 
 
+def test_short_lines_have_exact_copies(spark):
+    rows = [(1, "All rights reserved.\n \nonly here"), (2, "first\n  All rights reserved.\t\n\n版权所有不得转载"), (3, "版权所有不得转载\nAll rights reserve."), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {(r["doc_id"], r["line"]) for r in repeated_lines(docs).where("repeated").collect()} == {(2, 1), (3, 0)}
+    assert {r["doc_id"]: r["n_lines"] for r in line_report(docs).collect()} == {1: 2, 2: 3, 3: 2, 4: 0}
+
+
 def test_line_edges(edge_docs, no_docs):
     got = remove_lines(edge_docs.withColumn("n_lines", F.lit("clash"))).collect()
     assert len(got) == edge_docs.count()
