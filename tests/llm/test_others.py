@@ -12,12 +12,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexloom.llm import plans
+from lexloom.llm.arrays import prefix_hash
 from lexloom.llm.chunking import GEAR, Chunks, chunk_spans, gear_hashes, remove_chunks
 from lexloom.llm.components import connected_components
 from lexloom.llm.decontaminate import Lemma, banded_distance, find_leaks, index_patterns, matches, normalised
 from lexloom.llm.hmm import Chain, Model, expected_counts, first_model, forward, hmm_scores
 from lexloom.llm.licences import licences
-from lexloom.llm.lines import LineRule, banded_edit_distance, line_report, remove_lines, repeated_lines
+from lexloom.llm.lines import LineRule, banded_edit_distance, line_report, remove_lines, repeated_lines, window_keys, window_probes, within_edits
 from lexloom.llm.mixing import Mix, fill_budget, mix_sources
 from lexloom.llm.pu import pu_scores
 from lexloom.llm.sizes import join_checked, least_of_heaviest
@@ -194,6 +195,51 @@ def test_banded_edit_distance():
         assert banded_edit_distance([x.encode() for x in a], [y.encode() for y in b], most).tolist() == want
 
 
+def test_within_edits():
+    rng = random.Random(7)
+    a = ["".join(rng.choices("abc", k=rng.randrange(6, 60))) for _ in range(300)]
+    b = [edited(rng, x, rng.randrange(9), "abc") for x in a]
+    budget = np.array([rng.randrange(9) for _ in a])
+    want = [edit_distance(x.encode(), y.encode()) <= t for x, y, t in zip(a, b, budget.tolist(), strict=True)]
+    for cells in (1 << 19, 300):
+        assert within_edits([x.encode() for x in a], [y.encode() for y in b], budget, cells).tolist() == want
+    assert 50 < sum(want) < 250
+
+
+def test_windows_meet_every_line_in_reach():
+    rng = random.Random(8)
+    rule = LineRule(bytes_per_edit=10)
+    met = 0
+    for _ in range(400):
+        one = "".join(rng.choices("abcdefgh", k=rng.randrange(30, 400)))
+        two = edited(rng, one, rng.randrange(1, 2 + len(one) // 10), "abcdefgh")
+        a, b = sorted([one.encode(), two.encode()], key=len)
+        t = len(a) // 10
+        if t <= 2 or edit_distance(a, b) > t:
+            continue
+        at = np.array([0])
+        sums_a, sums_b = (prefix_hash(np.frombuffer(x, np.uint8)) for x in (a, b))
+        _, keys, _ = window_keys(sums_a, at, np.array([len(a)]), rule)
+        _, own, _ = window_keys(sums_b, at, np.array([len(b)]), rule)
+        _, probes = window_probes(sums_b, at, np.array([len(b)]), rule, lambda k: np.ones(len(k), dtype=bool))
+        assert set(keys.tolist()) & {*probes.tolist(), *own.tolist()}
+        met += 1
+    assert met > 100
+
+
+def test_long_lines_have_more_edits(spark):
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randrange(2, 9))) for _ in range(400)]
+    line = [" ".join(rng.choices(words, k=k)) for k in (18, 45, 300, 2000)]
+    near = [edited(rng, x, len(x) // 32 - 1, "xyz") for x in line]
+    swapped = line[1].replace(line[1].split()[20], "qqqqqqqq", 1)
+    far = "".join(c if k % 16 else "#" for k, c in enumerate(line[2]))
+    rows = [(1, "\n".join(line)), (2, "\n".join(near)), (3, swapped), (4, far), (5, "end " + " ".join(rng.choices(words, k=60)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r["doc_id"], r["line"]) for r in repeated_lines(docs).where("repeated").collect()}
+    assert got == {(2, 0), (2, 1), (2, 2), (2, 3), (3, 0)}
+
+
 def slow_repeated(rows: list[tuple[int, str]], rule: LineRule) -> dict[int, set[int]]:
     lines = [(d, k, x.strip(" \t\r\v\f").encode()) for d, t in rows for k, x in enumerate(t.split("\n")) if len(WORD.findall(x)) >= rule.min_words]
     distinct = sorted({x for _, _, x in lines})
