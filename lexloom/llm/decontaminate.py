@@ -30,21 +30,30 @@ TABLE_BITS = 20
 
 @dataclass(frozen=True)
 class Lemma:
-    """q, bytes of a pattern for each edit allowed, least and largest pattern in bytes, and the bytes of a block.
+    """q, bytes of a pattern for each edit allowed, least and largest pattern in bytes, a passage's, and a block's.
 
-    Items longer than ``longest`` are several patterns, the last one ending with the item; a passage of any of
-    them counts. Items with fewer than ``shortest`` bytes after normalising are no evidence and never match.
+    An item is a pattern as a whole or, beyond ``longest``, in blocks; so are its stretches of ``passage`` bytes, a new
+    one every half of that and one that ends with the item. Any of them counts: an excerpt of one and a half times
+    ``passage`` holds one wherever it is taken from. Items with fewer than ``shortest`` bytes after normalising are no evidence and never match.
     """
 
     q: int = 12
     bytes_per_edit: int = 16
     shortest: int = 24
     longest: int = 256
+    passage: int = 96
     block_bytes: int = 4 << 20
 
     def edits(self, m: int) -> int:
         return min(m // self.bytes_per_edit, (m - self.q) // self.q)
 
+    def cuts(self, m: int) -> list[tuple[int, int]]:
+        """Start and size of the patterns of an item of ``m`` bytes."""
+        found = set()
+        for size, stride in ((self.longest, self.longest), (min(self.passage, self.longest), max(1, min(self.passage, self.longest) // 2))):
+            found |= {(min(lo, max(0, m - size)), min(size, m)) for lo in range(0, m, stride)}
+        return sorted(found)
+
     def least_hits(self, m: int) -> int:
         return m + 1 - self.q * (self.edits(m) + 1)
 
@@ -93,10 +102,9 @@ def index_patterns(rows: list[tuple[int, str]], spec: Lemma) -> Patterns:
         whole = whole[: len(whole) - (len(whole) > 0 and whole[-1] == 32)]
         if len(whole) < spec.shortest:
             continue
-        cuts = {min(lo, max(0, len(whole) - spec.longest)) for lo in range(0, len(whole), spec.longest)}
-        for lo in sorted(cuts):
+        for lo, size in spec.cuts(len(whole)):
             items.append(item)
-            texts.append(whole[lo : lo + spec.longest].copy())
+            texts.append(whole[lo : lo + size].copy())
     keys = [_gram_keys(t, spec.q) for t in texts]
     flat = np.concatenate([np.zeros(0, np.uint64), *keys])
     owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])

@@ -112,6 +112,18 @@ def test_leaks_equal_search_without_filter(spark):
     assert sum(map(bool, want.values())) > 10
 
 
+def test_excerpts_of_items_are_leaks(spark):
+    rng = random.Random(15)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randrange(3, 9))) for _ in range(300)]
+    long = [" ".join(rng.choices(words, k=200))[:m] for m in (394, 600, 256, 90)]
+    excerpts = [long[0][60:330], long[1][100:450], long[2][:200], long[2][56:], long[0][125:270], long[3], long[0][:70], "nothing of them"]
+    rest = " ".join(rng.choices([w[::-1] + "q" for w in words], k=60))
+    docs = spark.createDataFrame([(k, f"{rest} {x}. {rest}") for k, x in enumerate(excerpts)], "doc_id bigint, text string")
+    items = spark.createDataFrame(list(enumerate(long)), "item_id bigint, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in find_leaks(docs, items).collect()}
+    assert got == {0: [0], 1: [1], 2: [2], 3: [2], 4: [0], 5: [3], 6: [], 7: []}
+
+
 def test_leaks_edges(spark, edge_docs, no_docs):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert all(r["item_ids"] == [] for r in find_leaks(edge_docs, none).collect())
