@@ -1,6 +1,7 @@
-"""Licences of files: sparse TF-IDF cosine of lines and whole texts to notices, then inheritance down the path.
+"""Licences of files: sparse TF-IDF cosine of word windows, lines and whole texts to notices, then inheritance down the path.
 
-A file's own licence is the notice that one of its lines, or the whole text, is nearest to, from a similarity on.
+A file's own licence is the notice that a window of as many words, a line or the whole text is nearest to, from a
+similarity on. Windows run on over line breaks, so other words beside a notice don't hide it.
 A file without one inherits from the nearest directory above that holds a licence file.
 
 At scale: files are compared where they are read, against a fixed list of notices; only directories, not files,
@@ -35,7 +36,10 @@ NOTICES = [
     ("GPL-2.0", "This program is licensed under the GNU General Public License, version 2"),
     ("GPL-2.0", "GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3"),
+    ("LGPL-3.0", "GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version"),
+    ("LGPL-2.1", "GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License"),
     ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3"),
+    ("AGPL-3.0", "GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License"),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
@@ -49,7 +53,27 @@ NOTICES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0"),
+    ("GPL-3.0", "GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("LGPL-3.0", "GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("AGPL-3.0", "GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    # how the full texts begin
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions"),
+    ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    ("CC-BY-ND-4.0", "Creative Commons Attribution-NoDerivatives 4.0 International Public License"),
 ]
+# SPDX tags, which have to agree in every word.
+TAG = "SPDX-License-Identifier: "
+NOTICES += [(name, TAG + name) for name in dict.fromkeys(name for name, _ in NOTICES)]
+NOTICES += [(f"{name}-{v}", f"{TAG}{name}-{v}-{end}") for name, v in (("GPL", "2.0"), ("GPL", "3.0"), ("LGPL", "2.1"), ("LGPL", "3.0"), ("AGPL", "3.0")) for end in ("only", "or-later")]
 # Names of licence files.
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice|unlicense)([.-][a-z0-9.-]*)?$"
 
@@ -70,6 +94,8 @@ class Index:
     idf: np.ndarray
     unseen: float
     weights: np.ndarray  # terms by notices
+    sizes: np.ndarray  # words of each notice
+    exact: np.ndarray  # notices that have to agree in every word
 
 
 def _lined(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -90,7 +116,8 @@ def notice_index(notices: list[tuple[str, str]] = NOTICES) -> Index:
     known = (counts > 0).sum(axis=1)
     idf = np.log((1 + len(notices)) / (1 + known)) + 1
     weights = counts * idf[:, None]
-    return Index(terms, idf, float(np.log(1 + len(notices)) + 1), weights / np.linalg.norm(weights, axis=0))
+    exact = np.array([text.startswith(TAG) for _, text in notices])
+    return Index(terms, idf, float(np.log(1 + len(notices)) + 1), weights / np.linalg.norm(weights, axis=0), np.bincount(line, minlength=len(notices)), exact)
 
 
 def similarities(index: Index, words: np.ndarray, unit: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,11 +134,53 @@ def similarities(index: Index, words: np.ndarray, unit: np.ndarray, n: int) -> t
     unit, place, weight = unit[known], place[known], weight[known]
     for k in range(index.weights.shape[1]):
         dot = np.bincount(unit, weight * index.weights[place, k], minlength=n) / np.maximum(norm, 1e-12)
+        if index.exact[k]:
+            dot[dot < 1 - 1e-9] = 0
         better = dot > cosine + 1e-12
         best[better], cosine[better] = k, dot[better]
     return best, cosine
 
 
+def windows(index: Index, words: np.ndarray, row: np.ndarray, n: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each of ``n`` texts its nearest notice among windows of as many words, the cosine, and the words in such windows.
+
+    Windows below ``least`` are left out; texts without any have cosine 0.
+    """
+    best, cosine, covered = np.zeros(n, np.int64), np.zeros(n), np.zeros(len(words) + 1, np.int64)
+    if not len(words):
+        return best, cosine, covered[:-1] > 0
+    place = np.minimum(np.searchsorted(index.terms, words), len(index.terms) - 1)
+    known = index.terms[place] == words
+    weight = np.where(known, index.idf[place], index.unseen)
+    # counts are at least one: the norm is no smaller than that of different words
+    squares = np.concatenate([[0], np.cumsum(weight**2)])
+    for k, size in enumerate(index.sizes.tolist()):
+        if size > len(words):
+            continue
+        dots = np.concatenate([[0], np.cumsum(np.where(known, weight * index.weights[place, k], 0))])
+        dot = dots[size:] - dots[:-size]
+        at = np.flatnonzero((dot >= (least - 1e-9) * np.sqrt(squares[size:] - squares[:-size])) & (row[size - 1 :] == row[: len(row) - size + 1]))
+        for lo in range(0, len(at), 1 << 14):
+            start = at[lo : lo + (1 << 14)]
+            inside = start[:, None] + np.arange(size)
+            order = np.argsort(words[inside], axis=1, kind="stable")
+            inside = np.take_along_axis(inside, order, axis=1)
+            # a word that stands c times gives c ** 2 squares: one, and two for each earlier copy
+            again = np.zeros(inside.shape, np.int64)
+            for j in range(1, size):
+                again[:, j] = np.where(words[inside[:, j]] == words[inside[:, j - 1]], again[:, j - 1] + 1, 0)
+            value = np.minimum(dot[start] / np.sqrt((weight[inside] ** 2 * (1 + 2 * again)).sum(axis=1)), 1.0)
+            good = value >= (1 - 1e-9 if index.exact[k] else least)
+            start, value = start[good], value[good]
+            np.add.at(covered, start, 1)
+            np.add.at(covered, start + size, -1)
+            top = np.zeros(n)
+            np.maximum.at(top, row[start], value)
+            better = top > cosine + 1e-9
+            best[better], cosine[better] = k, top[better]
+    return best, cosine, np.cumsum(covered[:-1]) > 0
+
+
 def _scanner(scan: Scan, columns: list[str]):
     index = notice_index()
     names = np.array([name for name, _ in NOTICES])
@@ -123,7 +192,8 @@ def _scanner(scan: Scan, columns: list[str]):
             best, cosine = similarities(index, words, line, len(row_of_line))
             whole, whole_cosine = similarities(index, words, row, n)
             notice = cosine >= scan.least
-            inside = np.bincount(row, notice[line], minlength=n) / np.maximum(np.bincount(row, minlength=n), 1)
+            near, near_cosine, covered = windows(index, words, row, n, scan.least)
+            inside = np.bincount(row, notice[line] | covered, minlength=n) / np.maximum(np.bincount(row, minlength=n), 1)
             # a text's nearest line, the first one of equals
             order = np.lexsort((np.arange(len(cosine)), -cosine, row_of_line))
             lead, _ = run_lengths(row_of_line[order])
@@ -131,6 +201,8 @@ def _scanner(scan: Scan, columns: list[str]):
             use_whole = whole_cosine > cosine[top]
             which = np.where(use_whole, whole, best[top])
             value = np.where(use_whole, whole_cosine, cosine[top])
+            closer = near_cosine > value + 1e-9
+            which, value = np.where(closer, near, which), np.where(closer, near_cosine, value)
             found = value >= scan.least
             yield pa.record_batch(
                 [*piece.select(columns).columns, pa.array(names[which], pa.string(), mask=~found), pa.array(np.round(value, 6)), pa.array(inside)],

@@ -17,7 +17,7 @@ from lexloom.llm.chunking import GEAR, Chunks, chunk_spans, gear_hashes, remove_
 from lexloom.llm.components import connected_components
 from lexloom.llm.decontaminate import Lemma, banded_distance, find_leaks, index_patterns, matches, normalised
 from lexloom.llm.hmm import Chain, Model, expected_counts, first_model, forward, hmm_scores
-from lexloom.llm.licences import licences
+from lexloom.llm.licences import NOTICES, _lined, licences, notice_index, windows
 from lexloom.llm.lines import LineRule, banded_edit_distance, line_report, remove_lines, repeated_lines, window_keys, window_probes, within_edits
 from lexloom.llm.mixing import Mix, fill_budget, mix_sources
 from lexloom.llm.pu import pu_scores
@@ -150,6 +150,44 @@ def test_licences_inherit_from_the_nearest_directory(spark):
     assert licences(files.limit(0)).collect() == []
 
 
+def test_licences_beside_other_words(spark):
+    lgpl = """This file is part of it. It is free software: you can redistribute it and/or modify it under the
+terms of the GNU Lesser General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version. It comes without any warranty."""
+    mit = "Copyright 2020 Somebody\n\nPermission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated documentation"
+    cases = {
+        "Copyright (c) 2019 Jane Doe. Released under the MIT License.": "MIT", "# SPDX-License-Identifier: MIT\nimport os": "MIT",
+        "Copyright 2021 A. B., all texts. Licensed under CC BY-NC 4.0. See the site.": "CC-BY-NC-4.0", lgpl: "LGPL-3.0", mit: "MIT",
+        lgpl.replace("Lesser General", "General"): "GPL-3.0", "/* SPDX-License-Identifier: GPL-2.0-or-later */ int x;": "GPL-2.0",
+        "# SPDX-License-Identifier: BSD-4-Clause": None, "The licence of this text is not known to anyone here.": None,
+        "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\nCopyright (C) 2007 Free Software Foundation": "GPL-3.0",
+    }
+    files = spark.createDataFrame([(k, f"d{k}/x.py", text) for k, text in enumerate(cases)], "k int, path string, text string")
+    assert {r["k"]: r["own_licence"] for r in licences(files).collect()} == dict(enumerate(cases.values()))
+
+
+def test_windows_equal_a_plain_cosine():
+    rng = random.Random(21)
+    index = notice_index()
+    texts = [" ".join([*rng.choices("of the a b c d".split(), k=5), *edited(rng, rng.choice(NOTICES)[1], rng.randrange(6), "ab ").split(), "end"]) for _ in range(60)]
+    words, _, row, _ = _lined(pa.array(texts, pa.string()))
+    _, cosine, _ = windows(index, words, row, len(texts), 0.7)
+    for t in range(len(texts)):
+        own, most = words[row == t], 0.0
+        for k, size in enumerate(index.sizes.tolist()):
+            if index.exact[k] or size > len(own):
+                continue
+            for lo in range(len(own) - size + 1):
+                part, count = np.unique(own[lo : lo + size], return_counts=True)
+                place = np.minimum(np.searchsorted(index.terms, part), len(index.terms) - 1)
+                known = index.terms[place] == part
+                w = count * np.where(known, index.idf[place], index.unseen)
+                most = max(most, float((w * np.where(known, index.weights[place, k], 0)).sum() / np.linalg.norm(w)))
+        if most >= 0.7 + 1e-6 and cosine[t] < 1 - 1e-6:
+            assert math.isclose(cosine[t], most, abs_tol=1e-6)
+
+
 # --- mixing
 
 
