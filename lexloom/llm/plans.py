@@ -14,6 +14,7 @@ from lexloom.llm.minhash import Sketch, near_duplicates
 from lexloom.llm.mixing import mix_sources
 from lexloom.llm.perplexity import quality_rules
 from lexloom.llm.pu import pu_scores
+from lexloom.llm.runs import periodic_runs
 from lexloom.llm.suffix_dedup import remove_repeats
 from lexloom.plans.registry import Registry
 from lexloom.sources.tables import read_table
@@ -133,3 +134,86 @@ def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     path = F.concat(F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.col("doc_id").cast("string")), F.lit(".txt"))
     return licences(docs.select("doc_id", path.alias("path"), "text"))
+
+
+#: DuckDB has no crc32: the table of its polynomial by rule, and a decimal number's checksum as a macro of its digits.
+CRC_TABLE = """crc_table AS (
+      SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+               lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def crc_sql(number: str) -> str:
+    """crc32 of ``number`` in decimal; ``t`` of ``crc_table`` must be in reach."""
+    digits = f"list_transform(string_split({number}::VARCHAR, ''), lambda d: ascii(d)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {digits}), lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295)"
+
+
+def checksum(of: str) -> Column:
+    """crc32 of a number in decimal."""
+    return F.crc32(F.col(of).cast("string").cast("binary"))
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)``; a tenth of the texts get a stretch that repeats to the end, as the id's checksum says."""
+    h = checksum("doc_id")
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
+    drawn = docs.select("doc_id", "text", words.alias("words"), F.floor(h / 10).alias("g"))
+    n = F.size("words")
+    drawn = drawn.withColumn("a", F.when(n > 0, (F.col("g") % n).cast("int")))
+    p = F.lit(1) + F.floor((n - F.col("a")) / (F.lit(3) + F.col("g") % 8)).cast("int")
+    drawn = drawn.withColumn("p", p)
+    copies = F.ceil((n - F.col("a")) / F.col("p")).cast("int")
+    repeated = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), copies))
+    planted = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(repeated, F.lit(1), n - F.col("a")))
+    return drawn.select("doc_id", F.when(n > 0, F.concat_ws(" ", planted)).otherwise(F.col("text")).alias("text"))
+
+
+def _runs_sql(levels: int = 15) -> str:
+    """Names of 1, 2, 4 ... words by doubling; the next place of a name of ``w`` words tells periods in ``(w / 2, w]``."""
+    names = ["g0 AS (SELECT rid, n, i, hash(w) AS g FROM words)"]
+    names += [
+        f"g{k} AS (SELECT rid, n, i, hash(g, lead(g, {1 << k - 1}) OVER (PARTITION BY rid ORDER BY i)) AS g FROM g{k - 1} WHERE n >= {1 << k})"
+        for k in range(1, levels)
+    ]
+    seeds = " UNION ALL ".join(
+        f"SELECT rid, i, {1 << k} AS w, lead(i) OVER (PARTITION BY rid, g ORDER BY i) - i AS q FROM g{k} WHERE i + {1 << k} <= n" for k in range(levels)
+    )
+    return ",\n    ".join([*names, f"seeds AS (SELECT * FROM ({seeds}) WHERE q <= w AND 2 * q > w)"])
+
+
+@_R.add(
+    rf"""WITH {CRC_TABLE},
+    given AS (SELECT row_number() OVER () AS rid, doc_id, {crc_sql("doc_id")} AS h,
+                     regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents, crc_table),
+    drawn AS (SELECT rid, doc_id, h, w, len(w) AS n, CASE WHEN len(w) > 0 AND h % 10 = 0 THEN (h // 10) % len(w) END AS a FROM given),
+    texts AS (SELECT rid, doc_id, n, CASE WHEN a IS NULL THEN w
+                ELSE w[1:a] || list_transform(range(a, n), lambda i: w[a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) + 1]) END AS w FROM drawn),
+    words AS (SELECT rid, n, unnest(range(n)) AS i, unnest(w) AS w FROM texts),
+    {_runs_sql()},
+    islands AS (SELECT rid, q, w, i, i - row_number() OVER (PARTITION BY rid, w, q ORDER BY i) AS r FROM seeds),
+    runs AS (SELECT rid, min(i) AS s, count(*) - 1 + w + q AS len, q FROM islands GROUP BY rid, w, q, r
+             HAVING count(*) - 1 + w + q >= greatest(6, 4 * q)),
+    dropped AS (SELECT DISTINCT rid, unnest(range(s + q, s + len)) AS i FROM runs),
+    kept AS (SELECT rid, string_agg(w, ' ' ORDER BY i) AS c FROM words ANTI JOIN dropped USING (rid, i) GROUP BY rid),
+    best AS (SELECT rid, count(*) AS n_runs, min((-len, s, q)) AS b, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS l
+             FROM (SELECT rid, s, len::BIGINT AS len, q FROM runs) GROUP BY rid)
+    SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, b[2]::BIGINT AS start, (-b[1])::BIGINT AS length, b[3]::BIGINT AS period,
+           (1000 * -b[1] // b[3])::BIGINT AS exponent_milli, sha256(coalesce(l, '')) AS runs_sha256, sha256(coalesce(c, '')) AS collapsed_sha256
+    FROM texts LEFT JOIN best USING (rid) LEFT JOIN kept USING (rid)"""
+)
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeating words of all documents, a tenth of them with a planted one, and digests of what is left."""
+    found = periodic_runs(planted_repeats(read_table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.concat_ws("", F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))))
+    found = found.withColumn("best", longest)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        "best.length",
+        (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.length div -best.p").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
