@@ -16,6 +16,7 @@ from lexloom.llm.perplexity import quality_rules
 from lexloom.llm.pu import pu_scores
 from lexloom.llm.runs import periodic_runs
 from lexloom.llm.suffix_dedup import remove_repeats
+from lexloom.llm.trie import prefix_trie, rebuilt_conversations
 from lexloom.plans.registry import Registry
 from lexloom.sources.tables import read_table
 
@@ -217,3 +218,35 @@ def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@_R.add(
+    rf"""WITH {CRC_TABLE},
+    turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, m) AS i, m, size
+              FROM (SELECT conv_id, turn, strlen(coalesce(text, ''))::BIGINT AS size,
+                           md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS m
+                    FROM conversations WHERE conv_id IS NOT NULL)),
+    ids AS (SELECT conv_id AS c, conv_id - conv_id % 5 AS b, {crc_sql("conv_id")} % 9 AS h
+            FROM (SELECT DISTINCT conv_id FROM turns), crc_table),
+    moved AS (SELECT c, 0 AS part, i, m, size FROM ids JOIN turns t ON t.conv_id = b AND i <= h WHERE c <> b
+              UNION ALL SELECT c, 1, i, m, size FROM ids JOIN turns t ON t.conv_id = c AND (i > h OR c = b)),
+    whole AS (SELECT c, coalesce(list(m ORDER BY part, i) FILTER (m IS NOT NULL), []) AS w, coalesce(list(size ORDER BY part, i) FILTER (m IS NOT NULL), []) AS z
+              FROM ids LEFT JOIN moved USING (c) GROUP BY c),
+    prefixes AS (SELECT c, d, w[1:d] AS p, coalesce(z[d], 0) AS size, len(w) = d AS last
+                 FROM (SELECT c, w, z, unnest(range(len(w) + 1)) AS d FROM whole)),
+    nodes AS (SELECT d, p, min(c) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+                     sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends_sha256 FROM prefixes GROUP BY d, p),
+    family AS (SELECT d, p[1:d - 1] AS p, conv_id FROM nodes WHERE d > 0),
+    kids AS (SELECT d - 1 AS d, p, count(*) AS n FROM family GROUP BY ALL),
+    full_nodes AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (d, p)),
+    below AS (SELECT u AS d, p[1:u] AS p, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * size) AS saved
+              FROM (SELECT d, p, n_convs, size, n_children, unnest(range(d + 1)) AS u FROM full_nodes) GROUP BY 1, 2)
+    SELECT n.conv_id, n.d::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.n_leaves,
+           b.saved::BIGINT AS saved_tokens, n.ends_sha256
+    FROM full_nodes n JOIN below b USING (d, p) LEFT JOIN nodes up ON up.d = n.d - 1 AND up.p = n.p[1:n.d - 1]"""
+)
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each begun with turns of its group of five's first."""
+    talks = read_table(spark, sf_dir, "conversations")
+    rebuilt = rebuilt_conversations(talks, F.expr("conv_id - conv_id % 5"), checksum("conv_id") % 9, keep=8)
+    return prefix_trie(rebuilt)
