@@ -15,6 +15,7 @@ from lexloom.llm.mixing import mix_sources
 from lexloom.llm.perplexity import quality_rules
 from lexloom.llm.pu import pu_scores
 from lexloom.llm.runs import periodic_runs
+from lexloom.llm.secrets import find_secrets, spans_text
 from lexloom.llm.suffix_dedup import remove_repeats
 from lexloom.llm.trie import prefix_trie, rebuilt_conversations
 from lexloom.plans.registry import Registry
@@ -250,3 +251,61 @@ def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = read_table(spark, sf_dir, "conversations")
     rebuilt = rebuilt_conversations(talks, F.expr("conv_id - conv_id % 5"), checksum("conv_id") % 9, keep=8)
     return prefix_trie(rebuilt)
+
+
+def _any_case(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+ASSIGN = rf"""({"|".join(map(_any_case, ("password", "passwd", "secret", "token", "api_?key")))})[\"\'']?\x20*[:=]\x20*[\"\'']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _places_sql(kind: int, pattern: str, value: str) -> str:
+    """Code-point places of a pattern's matches, between two marks that no text has."""
+    return rf"""SELECT rid, {kind} AS kind, a, a + length(m) AS b, {value} AS v
+      FROM (SELECT rid, j, split_part(s, chr(57345), 1) AS m,
+                   coalesce(sum(length(s) - (j > 1)::INT) OVER (PARTITION BY rid ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS a
+            FROM (SELECT rid, unnest(p) AS s, generate_subscripts(p, 1) AS j
+                  FROM (SELECT rid, string_split(regexp_replace(t, '{pattern}', chr(57344) || '\0' || chr(57345), 'g'), chr(57344)) AS p FROM given)))
+      WHERE j > 1"""
+
+
+@_R.add(
+    rf"""WITH given AS (SELECT row_number() OVER () AS rid, doc_id, source, source || '/' || lang AS repo, coalesce(text, '') AS t FROM documents),
+    base AS ({_places_sql(0, ASSIGN, f"regexp_extract(m, '{ASSIGN}', 2)")} AND length(v) >= 6
+             UNION ALL {_places_sql(1, "AKIA[A-Z0-9]+", "m")} AND length(m) >= 20
+             UNION ALL {_places_sql(2, "[0-9a-f]+", "m")} AND length(m) >= 24),
+    bare AS ({_places_sql(3, "[0-9A-Za-z+/_=-]+", "m")} AND length(m) >= 16),
+    every_place AS (SELECT * FROM base UNION ALL SELECT * FROM bare w WHERE NOT EXISTS (SELECT 1 FROM base x WHERE x.rid = w.rid AND x.a < w.b AND x.b > w.a)),
+    looked AS (SELECT *, length(v) >= 16 AND len(list_distinct(string_split(v, ''))) >= 8 AND len(regexp_extract_all(v, '[0-9]')) >= 3
+                         AND len(regexp_extract_all(v, '[A-Za-z]')) >= 3 AS live FROM every_place),
+    places AS (SELECT l.*, g.source, g.repo FROM looked l JOIN given g USING (rid) WHERE kind < 3 OR live),
+    owners AS (SELECT v, count(*) AS n_owners FROM (SELECT DISTINCT v, source FROM places) GROUP BY v),
+    judged AS (SELECT rid, kind, a, b, CASE WHEN n_owners >= 3 THEN 'example' WHEN live THEN 'live' ELSE 'weak' END AS verdict,
+                      ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || a || ':' || b AS span FROM places JOIN owners USING (v)),
+    summed AS (SELECT rid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+                      count(*) FILTER (kind = 3) AS n_owned, count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'example') AS n_example,
+                      string_agg(span, ',' ORDER BY a, kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY a, kind) AS spans
+               FROM judged WHERE kind < 3 OR verdict = 'live' GROUP BY rid)
+    SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+           sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_owned, 0)::BIGINT AS n_owned,
+           coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_example, 0)::BIGINT AS n_example
+    FROM given LEFT JOIN summed USING (rid)"""
+)
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents; a document's owner is its source, its repository the source's part in its language."""
+    docs = read_table(spark, sf_dir, "documents")
+    given = docs.select("doc_id", F.col("source").alias("owner"), F.concat("source", F.lit("/"), "lang").alias("repo"), "text")
+
+    def number(field: str, value: str) -> Column:
+        return F.size(F.filter("findings", lambda f: f[field] == value)).cast("bigint")
+
+    return find_secrets(given).select(
+        "doc_id",
+        *(number("kind", k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(spans_text(F.filter("findings", lambda f: f["kind"] != "owned")), 256).alias("base_sha256"),
+        spans_text("findings").alias("spans"),
+        number("kind", "owned").alias("n_owned"),
+        number("verdict", "live").alias("n_live"),
+        number("verdict", "example").alias("n_example"),
+    )
