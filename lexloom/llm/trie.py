@@ -136,11 +136,15 @@ def ends_digest(ends: DataFrame, piece: int) -> DataFrame:
 
 
 def distinct_sequences(prefixes: DataFrame, rule: Burst) -> DataFrame:
-    """``(end, n_turns, copies, low, path, sizes, ends_sha256)`` of every distinct sequence, written; copies meet per task first."""
+    """``(end, copies, low, path, sizes, ends_sha256, n_turns)`` of every distinct sequence, written; copies meet per task first.
+
+    All begin in the root's container: ``depth`` 0, no ``parent``.
+    """
     end = F.when(F.size("path") > 0, F.element_at("path", -1)).otherwise(F.lit(ROOT))
     named = prefixes.withColumn("end", end)
     one = named.groupBy("end").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("low"), F.first("path").alias("path"), F.first("sizes").alias("sizes"))
-    return cut_lineage(one.join(ends_digest(named.select("end", "id"), rule.piece), "end").withColumn("n_turns", F.size("path")))
+    whole = one.join(ends_digest(named.select("end", "id"), rule.piece), "end").withColumn("n_turns", F.size("path"))
+    return cut_lineage(whole.withColumn("depth", F.lit(0)).withColumn("parent", F.lit(None).cast("bigint")))
 
 
 def _prefix(level: Column) -> Column:
@@ -159,8 +163,7 @@ def burst(sequences: DataFrame, rule: Burst = Burst()) -> tuple[DataFrame, DataF
     beyond its last turn and no container.
     """
     spark = sequences.sparkSession
-    waiting = sequences.withColumn("depth", F.lit(0)).withColumn("parent", F.lit(None).cast("bigint"))
-    heads, placed, start = [], [], 0
+    waiting, heads, placed, start = sequences, [], [], 0
     while True:
         level = F.explode(F.sequence(F.lit(start), F.least(F.lit(start + rule.levels - 1), F.col("n_turns")))).alias("at")
         size = F.coalesce(F.get("sizes", F.col("at") - 1), F.lit(0))
