@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 
 from lexloom.functions.vectors import as_doubles, cosine, dot, literal_vector, unit
 from lexloom.operators.frames import rank_hits, unnest
+from lexloom.session import ship_package
 
-# Vectors of the small side that are held in one block on the driver and in each Python worker.
+# Vectors of the small side that are held in one block, on the driver or in the Python worker of a cell.
 BLOCK_VECTORS = 4096
 # Rows of a batch that a task hands on.
 OUTPUT_ROWS = 1 << 18
@@ -68,19 +69,56 @@ def one_dimension(vectors: list[list[float]]) -> np.ndarray:
     return np.array(vectors, dtype=np.float64)
 
 
-def _blocks(small: DataFrame, key: str, vec: str) -> Iterator[tuple[list, np.ndarray]]:
-    """The small side in blocks of bounded size, one after the other through the driver."""
-    picked = small.where(F.col(vec).isNotNull()).select(key, as_doubles(vec).alias(vec))
-    first = picked.limit(BLOCK_VECTORS + 1).collect()
-    if len(first) <= BLOCK_VECTORS:
-        blocks = iter([first])
-    else:
-        n_blocks = -(-picked.count() // BLOCK_VECTORS)
-        home = F.pmod(F.xxhash64(key), F.lit(n_blocks))
-        blocks = (picked.filter(home == b).collect() for b in range(n_blocks))
-    for rows in blocks:
-        if rows:
-            yield [r[0] for r in rows], _unit_rows(one_dimension([r[1] for r in rows]))
+def _one_block(small: DataFrame, key: str, vec: str) -> tuple[list, np.ndarray] | None:
+    """Keys and unit rows of a side of at most ``BLOCK_VECTORS`` vectors, which may go to every task; none: it has more."""
+    rows = small.where(F.col(vec).isNotNull()).select(key, as_doubles(vec).alias(vec)).limit(BLOCK_VECTORS + 1).collect()
+    if len(rows) > BLOCK_VECTORS:
+        return None
+    return [r[0] for r in rows], _unit_rows(one_dimension([r[1] for r in rows])) if rows else np.zeros((0, 0))
+
+
+def _grid(wide: DataFrame, small: DataFrame, wide_key: str, small_key: str, vec: str) -> DataFrame:
+    """Both sides in the cells of a block product: rows ``(side, small_key, wide_key, vec)``, a task per cell.
+
+    A cell is a block of about ``BLOCK_VECTORS`` of the small side, which comes first, and a block of the wide side. Rows
+    are dealt by the hash of their keys and repeated for each block of the other side, so any two of them meet in one cell.
+    """
+    picked = small.where(F.col(vec).isNotNull())
+    n_small = -(-picked.count() // BLOCK_VECTORS)
+    n_wide = max(1, -(-int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions")) // n_small))
+
+    def blocks(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    def of(column: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
+
+    asked = picked.select(of(small_key, n_small).alias("a"), blocks(n_wide).alias("b"), F.lit(0).alias("side"), F.col(small_key).alias("_small"),
+                          F.lit(None).cast(wide.schema[wide_key].dataType).alias("_wide"), as_doubles(vec).alias("vec"))
+    met = wide.select(blocks(n_small).alias("a"), of(wide_key, n_wide).alias("b"), F.lit(1).alias("side"),
+                      F.lit(None).cast(small.schema[small_key].dataType).alias("_small"), F.col(wide_key).alias("_wide"), as_doubles(vec).alias("vec"))
+    cells = asked.union(met).repartitionById(n_small * n_wide, F.col("a") * n_wide + F.col("b"))
+    return cells.sortWithinPartitions("side").select("side", "_small", "_wide", "vec")
+
+
+def _cell_sides(batches: Iterator[pa.RecordBatch]) -> tuple[list, np.ndarray, Iterator[pa.RecordBatch]]:
+    """Keys and unit rows of the block that a cell holds, and the batches ``(key, vec)`` of the side that streams past it."""
+    names, vectors, first = [], [], None
+    for batch in batches:
+        cut = int(np.searchsorted(batch.column(0).to_numpy(), 1))
+        names += batch.column(1).slice(0, cut).to_pylist()
+        vectors += batch.column(3).slice(0, cut).to_pylist()
+        if cut < batch.num_rows:
+            first = batch.slice(cut)
+            break
+
+    def stream() -> Iterator[pa.RecordBatch]:
+        for batch in ([first] if first is not None else []):
+            yield batch.select([2, 3])
+        for batch in batches:
+            yield batch.select([2, 3])
+
+    return names, _unit_rows(one_dimension(vectors)) if names else np.zeros((0, 0)), stream()
 
 
 def _empty(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
@@ -96,8 +134,8 @@ def cross_score(
 ) -> DataFrame:
     """Cosine of every left vector with every right vector: ``(left_key, right_key, sim)``.
 
-    The right side is the short one (labels, queries). It is sent out as one matrix per
-    ``BLOCK_VECTORS`` vectors and the left side is read once per block, without any shuffle.
+    The right side is the short one (labels, queries). Up to ``BLOCK_VECTORS`` vectors of it are sent out as one
+    matrix, without any shuffle; more of them meet the left side in the cells of a block product.
     A zero vector scores 0; a null vector, one with holes or of another length scores null, as in
     :func:`cosine`. Null vectors on the right are left out, unequal lengths there are an error.
     """
@@ -109,32 +147,42 @@ def cross_score(
     schema = T.StructType(fields)
     arrow_right = _arrow_type(fields[1].dataType)
     wide = left.select(left_key, as_doubles(vec).alias(vec))
-    context = left.sparkSession.sparkContext
-    parts = []
-    for names, matrix in _blocks(right, right_key, vec):
-        shared = context.broadcast((names, matrix))
-
-        def score(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            right_names, right_matrix = shared.value
-            names_column = pa.array(right_names, type=arrow_right)
-            step = max(1, OUTPUT_ROWS // len(right_names))
-            for batch in batches:
-                for lo in range(0, batch.num_rows, step):
-                    part = batch.slice(lo, step)
-                    rows, usable = _matrix(part.column(1), right_matrix.shape[1])
-                    at = np.repeat(np.arange(part.num_rows), len(right_names))
-                    every = np.tile(np.arange(len(right_names)), part.num_rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            part.column(0).take(pa.array(at)),
-                            names_column.take(pa.array(every)),
-                            pa.array((rows @ right_matrix.T).ravel(), mask=~usable[at]),
-                        ],
-                        names=[f.name for f in fields],
-                    )
-
-        parts.append(wide.mapInArrow(score, schema))
-    return _union(parts) if parts else _empty(left, fields)
+
+    def scores(names: list, matrix: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names_column = pa.array(names, type=arrow_right)
+        step = max(1, OUTPUT_ROWS // max(1, len(names)))
+        for batch in batches:
+            for lo in range(0, batch.num_rows if names else 0, step):
+                part = batch.slice(lo, step)
+                rows, usable = _matrix(part.column(1), matrix.shape[1])
+                at = np.repeat(np.arange(part.num_rows), len(names))
+                every = np.tile(np.arange(len(names)), part.num_rows)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(pa.array(at)),
+                        names_column.take(pa.array(every)),
+                        pa.array((rows @ matrix.T).ravel(), mask=~usable[at]),
+                    ],
+                    names=[f.name for f in fields],
+                )
+
+    return _meet(wide, right, left_key, right_key, vec, scores, schema)
+
+
+def _meet(wide: DataFrame, small: DataFrame, wide_key: str, small_key: str, vec: str, work: Callable, schema: T.StructType) -> DataFrame:
+    """``work(names, matrix, batches)`` of the small side's vectors against all rows of the wide one.
+
+    A small side of one block goes to every task, and the wide side is not shuffled. A larger one meets it in the cells
+    of a block product; nothing but its count passes the driver then.
+    """
+    ship_package(wide.sparkSession)
+    block = _one_block(small, small_key, vec)
+    if block is None:
+        return _grid(wide, small, wide_key, small_key, vec).mapInArrow(lambda batches: work(*_cell_sides(batches)), schema)
+    if not block[0]:
+        return _empty(wide, schema.fields)
+    shared = wide.sparkSession.sparkContext.broadcast(block)
+    return wide.mapInArrow(lambda batches: work(*shared.value, batches), schema)
 
 
 def _arrow_type(kind: T.DataType) -> pa.DataType:
@@ -144,11 +192,36 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
     return KEY_TYPES[name]
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+class _Best:
+    """The best ``k`` neighbours of each query so far; ties go to the lower key."""
+
+    def __init__(self, names: list, k: int, exclude_self: bool) -> None:
+        self.k = k
+        self.names = np.array(names)
+        self.order = np.argsort(self.names, kind="stable") if exclude_self else None
+        self.floor = np.full(len(names), -np.inf)
+        self.query, self.sim, self.key = np.zeros(0, np.int64), np.zeros(0), None
+
+    def add(self, keys: np.ndarray, sims: np.ndarray) -> None:
+        """``sims`` has a row per query and a column per key."""
+        if self.order is not None:
+            ranked = self.names[self.order]
+            lo, hi = np.searchsorted(ranked, keys, "left"), np.searchsorted(ranked, keys, "right")
+            column = np.repeat(np.arange(len(keys)), hi - lo)
+            within = np.arange(len(column)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)
+            sims[self.order[np.repeat(lo, hi - lo) + within], column] = -np.inf
+        floor, n = self.floor, sims.shape[1]
+        if n > self.k:
+            floor = np.maximum(floor, np.partition(sims, n - self.k, axis=1)[:, n - self.k])
+        query, at = np.nonzero((sims >= floor[:, None]) & (sims > -np.inf))
+        query, sim = np.concatenate([self.query, query]), np.concatenate([self.sim, sims[query, at]])
+        key = keys[at] if self.key is None else np.concatenate([self.key, keys[at]])
+        order = np.lexsort((key, -sim, query))
+        query, sim, key = query[order], sim[order], key[order]
+        rank = np.arange(len(query)) - np.searchsorted(query, query)
+        self.query, self.sim, self.key = query[rank < self.k], sim[rank < self.k], key[rank < self.k]
+        full = rank == self.k - 1
+        self.floor[query[full]] = sim[full]
 
 
 def most_similar_to_vector(
@@ -164,7 +237,8 @@ def most_similar_to_vector(
     """The ``k`` nearest vectors to each query vector: ``(query, key, sim, rank)``.
 
     Exact. Every task keeps the best ``k`` per query of its own rows, so at most ``k`` rows per
-    query and task are shuffled. Null vectors, ones with holes or of another length are no
+    query and task are shuffled. Queries may be a table of any size: beyond one block they meet the vectors in the
+    cells of a block product. Vectors without a key, null vectors, ones with holes or of another length are no
     neighbours; queries of unequal lengths are an error. Similarities are rounded to ``digits`` before ranking and ties
     go to the lower key, so the result does not depend on the partitioning.
     """
@@ -175,52 +249,23 @@ def most_similar_to_vector(
     ]
     schema = T.StructType(fields)
     arrow_query, arrow_key = _arrow_type(fields[0].dataType), _arrow_type(fields[1].dataType)
-    wide = vecs.select(key, as_doubles(vec).alias(vec))
-    context = vecs.sparkSession.sparkContext
-    parts = []
-    for names, matrix in _blocks(queries, query, vec):
-        shared = context.broadcast((names, matrix))
-
-        def best(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            query_names, query_matrix = shared.value
-            kept: list[tuple[np.ndarray, np.ndarray]] = [
-                (np.empty(0), np.empty(0, dtype=object)) for _ in query_names
-            ]
-            step = max(1, 16 * OUTPUT_ROWS // len(query_names))
-            for batch in (whole.slice(lo, step) for whole in batches for lo in range(0, whole.num_rows, step)):
-                rows, usable = _matrix(batch.column(1), query_matrix.shape[1])
-                keys = np.array(batch.column(0).to_pylist(), dtype=object)[usable]
-                sims = np.round(query_matrix @ rows[usable].T, digits) + 0.0
-                for q, name in enumerate(query_names):
-                    old_sims, old_keys = kept[q]
-                    row = sims[q]
-                    if len(old_sims) >= k:
-                        candidates = np.flatnonzero(row >= old_sims[-1])
-                    elif len(row) > k:
-                        floor = np.partition(row, len(row) - k - 1)[len(row) - k - 1]
-                        candidates = np.flatnonzero(row >= floor)
-                    else:
-                        candidates = np.arange(len(row))
-                    if exclude_self:
-                        candidates = candidates[keys[candidates] != name]
-                    all_sims = np.concatenate([old_sims, row[candidates]])
-                    all_keys = np.concatenate([old_keys, keys[candidates]])
-                    order = sorted(range(len(all_sims)), key=lambda i: (-all_sims[i], all_keys[i]))[:k]
-                    kept[q] = (all_sims[order], all_keys[order])
-            out_q, out_k, out_s = [], [], []
-            for name, (s, ks) in zip(query_names, kept, strict=True):
-                out_q += [name] * len(s)
-                out_k += list(ks)
-                out_s += list(s)
+    wide = vecs.where(F.col(key).isNotNull()).select(key, as_doubles(vec).alias(vec))
+
+    def best(names: list, matrix: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = _Best(names, k, exclude_self)
+        step = max(1, 16 * OUTPUT_ROWS // max(1, len(names)))
+        for batch in (whole.slice(lo, step) for whole in batches for lo in range(0, whole.num_rows if names else 0, step)):
+            rows, usable = _matrix(batch.column(1), matrix.shape[1])
+            keys = np.array(batch.column(0).to_pylist())[usable]
+            if len(keys):
+                kept.add(keys, np.round(matrix @ rows[usable].T, digits) + 0.0)
+        if kept.key is not None:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out_q, type=arrow_query), pa.array(out_k, type=arrow_key), pa.array(out_s, type=pa.float64())],
+                [pa.array(names, type=arrow_query).take(pa.array(kept.query)), pa.array(kept.key, type=arrow_key), pa.array(kept.sim)],
                 names=[f.name for f in fields],
             )
 
-        parts.append(wide.mapInArrow(best, schema))
-    if not parts:
-        return rank_hits(_empty(vecs, fields), query, "sim", key, k=k)
-    return rank_hits(_union(parts), query, "sim", key, k=k)
+    return rank_hits(_meet(wide, queries, key, query, vec, best, schema), query, "sim", key, k=k)
 
 
 def most_similar_to_key(

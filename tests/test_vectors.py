@@ -214,3 +214,37 @@ def test_many_queries_in_blocks(spark, monkeypatch):
     queries = vecs.selectExpr("key AS query", "vec")
     best = vo.most_similar_to_vector(vecs, queries, k=1).collect()
     assert len(best) == 1000 and sum(r["sim"] > 0.999999 for r in best) == 1000
+
+
+@pytest.mark.parametrize("block", [1, 7, 4096])
+@pytest.mark.parametrize("names", [int, str])
+def test_queries_of_any_number_meet_all_vectors(spark, monkeypatch, block, names):
+    rng = np.random.default_rng(3)
+    points = rng.integers(-1, 2, (60, 3)).astype(float)  # many ties and some zeros
+    rows = [(names(k), p.tolist()) for k, p in enumerate(points)] + [(names(97), None), (names(98), [1.0, 2.0])]
+    vecs = spark.createDataFrame(rows, f"key {'bigint' if names is int else 'string'}, vec array<double>")
+    asked = vecs.where("size(vec) = 3 and cast(key as int) % 2 = 0").withColumnRenamed("key", "query")
+    monkeypatch.setattr(vo, "BLOCK_VECTORS", block)
+    norm = np.linalg.norm(points, axis=1, keepdims=True)
+    unit = np.divide(points, norm, out=np.zeros_like(points), where=norm > 0)
+    sims = np.round(unit @ unit.T, 6) + 0.0
+    for alone in (False, True):
+        got = vo.most_similar_to_vector(vecs, asked, 4, exclude_self=alone).orderBy("query", "rank").collect()
+        want = []
+        for q in sorted(map(names, range(0, 60, 2))):
+            best = sorted((-sims[int(q), j], names(j)) for j in range(60) if not (alone and names(j) == q))[:4]
+            want += [(q, key, -s, r + 1) for r, (s, key) in enumerate(best)]
+        assert [(r["query"], r["key"], r["sim"], r["rank"]) for r in got] == [(q, key, pytest.approx(s, abs=1e-9), r) for q, key, s, r in want]
+    scored = vo.cross_score(vecs, asked, right_key="query").collect()
+    assert len(scored) == 62 * 30
+    for r in scored:
+        k = int(r["key"])
+        assert r["sim"] is None if k >= 97 else r["sim"] == pytest.approx(sims[k, int(r["query"])], abs=1e-6)
+
+
+def test_unequal_lengths_are_an_error_in_a_cell_too(spark, monkeypatch):
+    monkeypatch.setattr(vo, "BLOCK_VECTORS", 2)
+    vecs = spark.createDataFrame([(k, [1.0, float(k)]) for k in range(4)], "key bigint, vec array<double>")
+    asked = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0]), (3, [1.0, 2.0, 3.0]), (4, [1.0]), (5, [1.0, 1.0])], "query bigint, vec array<double>")
+    with pytest.raises(Exception, match="one length"):
+        vo.most_similar_to_vector(vecs, asked, 2).collect()
