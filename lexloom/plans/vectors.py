@@ -11,6 +11,7 @@ from lexloom.operators import encode as en
 from lexloom.operators import metrics as mt
 from lexloom.operators import vectors as vo
 from lexloom.operators.frames import argmax_rows, checked_join, rank_hits, unnest
+from lexloom.operators.quantised import encode_vectors, fit_quantiser, search_quantised
 from lexloom.plans.registry import HASHED, REVIEWS, Registry, bucket, words
 from lexloom.session import cut_lineage
 from lexloom.sources import tables as tb
@@ -200,6 +201,29 @@ def similar_all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cell_search(spark, sf_dir, n_cells=8, nprobe=8)
 
 
+@_R.add(
+    f"WITH {VECS}, queries AS (SELECT key AS query, vec AS qvec FROM vecs WHERE key % 100 = 0), best AS (WITH "
+    + _SIMILAR.format(where="", k=10)
+    + """) SELECT query, string_agg(key::VARCHAR, ',' ORDER BY rank) AS keys, true AS recalled FROM best GROUP BY query"""
+)
+def similar_quantised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantised search for every hundredth vector against all: the exact ten, and whether it finds 0.9 of them or more on average."""
+    vecs = cut_lineage(tb.vectors(spark, sf_dir).select("key", "vec"))
+    queries = vecs.where("key % 100 = 0").withColumnRenamed("key", "query")
+    quantiser = fit_quantiser(vecs, n_cells=16, parts=16, codes=64)
+    index = cut_lineage(encode_vectors(vecs, quantiser))
+    found = search_quantised(index, quantiser, vecs, queries, k=10, nprobe=13, rerank=100).withColumn("found", F.lit(1))
+    exact = vo.most_similar_to_vector(vecs, queries, k=10)
+    both = exact.join(found.select("query", "key", "found"), ["query", "key"], "left")
+    rows = cut_lineage(
+        both.groupBy("query").agg(
+            F.concat_ws(",", F.transform(F.sort_array(F.collect_list(F.struct("rank", "key"))), lambda x: x["key"].cast("string"))).alias("keys"),
+            F.avg(F.coalesce("found", F.lit(0))).alias("recall"),
+        )
+    )
+    return rows.select("query", "keys", (rows.agg(F.avg("recall")).scalar() >= 0.9).alias("recalled"))
+
+
 @_R.add(
     f"""WITH texts AS (SELECT doc_id AS key, text FROM documents), {HASHED}
     SELECT key AS doc_id, b::INTEGER AS dim, round(x, 6) + 0.0 AS x FROM hashed"""
