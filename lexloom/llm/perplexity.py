@@ -4,8 +4,11 @@ The n-grams are UTF-8 bytes, counted separately for each language over every tex
 n-grams levels off while the corpus grows. Tasks count with numpy and hand on one row per n-gram; discounts,
 context totals, continuation counts and interpolated probabilities are Spark joins and aggregations. The
 finished model is one sorted key array with its log probabilities for each order, and one for each
-order's backoff weights; ``max_grams`` bounds each of them, and with that the broadcast (an n-gram beyond the
-bound is scored through its backoff, every text is still scored in full).
+order's backoff weights. A model whose arrays would pass ``max_grams`` entries is divided by the hashes of its keys,
+and the texts are scored with one share after the other: what the shares add up to is the same log probability.
+
+No text is judged by a model that has counted it: texts are in two folds by their hash, copies in the same one, and
+each fold is scored with the counts of the other.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.arrays import IS_SPACE, combine, line_spans, mix, per_row, pieces, prefix_hash, run_lengths, span_hash, utf8, word_spans
-from lexloom.llm.sizes import join_checked, least_of_heaviest
+from lexloom.llm.sizes import join_checked
 from lexloom.session import cut_lineage
 
 #: The characters that count as symbols.
@@ -47,8 +50,12 @@ class Rules:
     min_words: int = 50
 
 
+#: The bit of a language code that tells the folds apart.
+FOLD = 1 << 23
+
+
 def lang_code(lang: str | None) -> int:
-    return zlib.crc32(b"\xff" if lang is None else lang.encode()) & 0xFFFFFF
+    return zlib.crc32(b"\xff" if lang is None else lang.encode()) & (FOLD - 1)
 
 
 def _padded_grams(piece: pa.RecordBatch, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,6 +71,7 @@ def _padded_grams(piece: pa.RecordBatch, order: int) -> tuple[np.ndarray, np.nda
     for k in range(order):
         gram |= wide[place - k] << np.uint64(8 * k)
     codes = np.array([lang_code(x) for x in piece.column("lang").to_pylist()], np.uint64)
+    codes += piece.column("fold").to_numpy().astype(np.uint64) * np.uint64(FOLD)
     return np.repeat(codes << np.uint64(40), length), gram, at
 
 
@@ -120,9 +128,10 @@ def _with_discounts(counts: DataFrame) -> DataFrame:
 def kneser_ney(docs: DataFrame, rules: Rules) -> list[tuple[DataFrame, DataFrame]]:
     """For each order from 1: the n-grams with their interpolated probability, and the contexts with their backoff weight.
 
-    ``docs`` has ``(text, lang)``. The frames are ``(lang, gram, c, p)`` and ``(lang, context, gamma)``.
+    ``docs`` has ``(text, lang, fold)``; a language's folds are two languages here. The frames are ``(lang, gram, c, p,
+    step)`` and ``(lang, context, total, gamma)``; ``step`` is what the n-gram adds to the log10 of its backoff.
     """
-    top = docs.select("text", "lang").mapInArrow(_counter(rules.order), "key bigint, c bigint")
+    top = docs.select("text", "lang", "fold").mapInArrow(_counter(rules.order), "key bigint, c bigint")
     top = top.groupBy("key").agg(F.sum("c").alias("c"))
     top = top.select(F.shiftright("key", 40).alias("lang"), F.col("key").bitwiseAND((1 << 40) - 1).alias("gram"), "c")
     by_order = {rules.order: cut_lineage(top)}
@@ -142,7 +151,9 @@ def kneser_ney(docs: DataFrame, rules: Rules) -> list[tuple[DataFrame, DataFrame
         else:
             below = lower.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("below"))
             grams = grams.withColumn("suffix", F.col("gram").bitwiseAND((1 << (8 * (n - 1))) - 1)).join(below, ["lang", "suffix"])
-        lower = cut_lineage(grams.select("lang", "gram", "c", (own + F.col("gamma") * F.col("below")).alias("p")))
+        p = own + F.col("gamma") * F.col("below")
+        step = F.log10(p) - F.log10("gamma") - F.log10("below")
+        lower = cut_lineage(grams.select("lang", "gram", "c", p.alias("p"), step.alias("step")))
         out.append((lower, contexts.select("lang", "context", "total", "gamma")))
     return out
 
@@ -178,19 +189,41 @@ class HashArray:
         return self.values[place], (place < stop) & (self.hashes[place] == wanted)
 
 
-def sorted_arrays(model: list[tuple[DataFrame, DataFrame]], most: int) -> list[tuple[HashArray, HashArray]]:
-    """The model as log10 p by n-gram and log10 gamma by context, for each order."""
+def model_shares(model: list[tuple[DataFrame, DataFrame]], most: int) -> int:
+    """Into how many shares the model is divided so that about ``most`` entries of an order are in one."""
+    largest = max((frame.count() for order in model for frame in order), default=0)
+    return max(1, -(-largest // most))
+
+
+def sorted_arrays(model: list[tuple[DataFrame, DataFrame]], value: str = "p", share: int = 0, shares: int = 1) -> list[tuple[HashArray, HashArray]]:
+    """The model as log10 p (or steps) by n-gram and log10 gamma by context, for each order; or one share of it."""
     out = []
     for grams, contexts in model:
         parts = []
-        for frame, key, value, weight in ((grams, "gram", "p", "c"), (contexts, "context", "gamma", "total")):
-            packed = F.shiftleft(F.col("lang"), 40).bitwiseOR(F.col(key))
-            table = frame.where(F.col(weight) >= least_of_heaviest(frame, weight, most)).select(packed.alias("k"), F.log10(value).cast("float").alias("v")).toArrow()
+        for frame, key, number in ((grams, "gram", F.log10("p") if value == "p" else F.col("step")), (contexts, "context", F.log10("gamma"))):
+            packed = F.shiftleft(F.col("lang"), 40).bitwiseOR(F.col(key)).alias("k")
+            mine = F.pmod(F.xxhash64("lang", key), F.lit(shares)) == share if shares > 1 else F.lit(True)
+            table = frame.where(mine).select(packed, number.cast("float").alias("v")).toArrow()
             parts.append(HashArray.of(table.column("k").to_numpy(), table.column("v").to_numpy()))
         out.append(tuple(parts))
     return out
 
 
+def share_of_logs(arrays: list[tuple[HashArray, HashArray]], lang: np.ndarray, gram: np.ndarray, first: bool) -> np.ndarray:
+    """What one share of the model adds to the log10 p of every byte; the first share adds the lowest order's base.
+
+    An n-gram's log10 p is the base and, for each order up to its longest known one, the context's weight and the
+    n-gram's step; beyond, the weights alone. So every entry adds by itself, wherever it is held.
+    """
+    out = np.full(len(gram), np.log10(1 / 256) if first else 0.0)
+    for n, (grams, contexts) in enumerate(arrays, 1):
+        now = gram & np.uint64((1 << (8 * n)) - 1)
+        for array, key in ((grams, now), (contexts, now >> np.uint64(8))):
+            value, hit = array.look_up(lang | key)
+            out[hit] += value[hit]
+    return out
+
+
 def log_probabilities(arrays: list[tuple[HashArray, HashArray]], lang: np.ndarray, gram: np.ndarray) -> np.ndarray:
     """log10 p of every byte given the ones before it, by the longest n-gram that the model holds."""
     out = np.zeros(len(gram))
@@ -245,6 +278,14 @@ def text_statistics(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
+def _totals(p: np.ndarray, at: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(at) - 1)
+    full = np.diff(at) > 0
+    if full.any():
+        total[full] = np.add.reduceat(p, at[:-1][full])
+    return total
+
+
 def _scorer(arrays, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = arrays.value
@@ -252,13 +293,7 @@ def _scorer(arrays, order: int):
             data, at = utf8(piece.column("text"))
             stats = text_statistics(data, at)
             lang, gram, _ = _padded_grams(piece, order)
-            p = log_probabilities(model, lang, gram)
-            size = np.diff(at)
-            total = np.zeros(len(size))
-            full = size > 0
-            if full.any():
-                total[full] = np.add.reduceat(p, at[:-1][full])
-            mean = total / np.maximum(stats["n_words"], 1)
+            mean = _totals(log_probabilities(model, lang, gram), at) / np.maximum(stats["n_words"], 1)
             yield pa.record_batch(
                 [piece.column("doc_id"), piece.column("lang"), *(pa.array(v.astype(np.int64)) for v in stats.values()),
                  pa.array(-mean)],
@@ -268,16 +303,57 @@ def _scorer(arrays, order: int):
     return run
 
 
+def _share_scorer(arrays, order: int, first: bool):
+    """Log probabilities by one share; the first one brings the statistics too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = arrays.value
+        for piece in pieces(batches, "text"):
+            data, at = utf8(piece.column("text"))
+            lang, gram, _ = _padded_grams(piece, order)
+            total = pa.array(_totals(share_of_logs(model, lang, gram, first), at))
+            if first:
+                stats = text_statistics(data, at)
+                columns = [piece.column("doc_id"), piece.column("lang"), *(pa.array(v.astype(np.int64)) for v in stats.values())]
+            else:
+                columns = [pa.nulls(piece.num_rows, kind) for kind in (pa.int64(), pa.string(), *[pa.int64()] * 5)]
+            names = ["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_perplexity"]
+            yield pa.record_batch([piece.column("row"), *columns, total], names=["row", *names])
+
+    return run
+
+
 SCORED = (
     "doc_id bigint, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
     "n_repeat_words bigint, log_perplexity double"
 )
 
 
-def perplexities(docs: DataFrame, rules: Rules) -> DataFrame:
-    """The statistics of every row and ``log_perplexity``: -log10 p of the whole text by the number of its words."""
-    arrays = docs.sparkSession.sparkContext.broadcast(sorted_arrays(kneser_ney(docs, rules), rules.max_grams))
-    return docs.select("doc_id", "text", "lang").mapInArrow(_scorer(arrays, rules.order), SCORED)
+def perplexities(docs: DataFrame, rules: Rules, folds: int = 1) -> DataFrame:
+    """The statistics of every row and ``log_perplexity``: -log10 p of the whole text by the number of its words.
+
+    With one fold the model counts every text; with two, a text is scored by the counts of the fold that it is not in.
+    """
+    fold = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(folds)).cast("int")
+    known = docs.select("doc_id", "text", "lang", fold.alias("fold"))
+    model = kneser_ney(known, rules)
+    asked = known.withColumn("fold", F.pmod(F.col("fold") + 1, F.lit(folds)))
+    spark = docs.sparkSession
+    shares = model_shares(model, rules.max_grams)
+    if shares == 1:
+        return asked.mapInArrow(_scorer(spark.sparkContext.broadcast(sorted_arrays(model)), rules.order), SCORED)
+    # rows are told apart by a number that is written with them, as every share scores them
+    numbered = cut_lineage(asked.withColumn("row", F.monotonically_increasing_id()))
+    parts = None
+    for share in range(shares):
+        arrays = spark.sparkContext.broadcast(sorted_arrays(model, "step", share, shares))
+        part = cut_lineage(numbered.mapInArrow(_share_scorer(arrays, rules.order, not share), f"row bigint, {SCORED}"))
+        arrays.unpersist()
+        parts = part if parts is None else parts.union(part)
+    stats = [F.max(c).alias(c) for c in (x.split()[0] for x in SCORED.split(", ")) if c != "log_perplexity"]
+    summed = parts.groupBy("row").agg(*stats, F.sum("log_perplexity").alias("total"))
+    mean = -F.col("total") / F.greatest("n_words", F.lit(1))
+    return summed.withColumn("log_perplexity", mean).select(*(x.split()[0] for x in SCORED.split(", ")))
 
 
 def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -288,7 +364,7 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     stand there. An empty table gives no rows. Medians and spreads are taken over all texts that pass the base.
     """
     base_failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    scored = cut_lineage(perplexities(docs, rules).withColumn("base_failed", base_failed))
+    scored = cut_lineage(perplexities(docs, rules, folds=2).withColumn("base_failed", base_failed))
     scored = scored.withColumn("lang_key", F.coalesce("lang", F.lit("\x00")))
     usual = scored.where(~F.col("base_failed")).select("lang_key", "log_perplexity")
     middle = cut_lineage(usual.groupBy("lang_key").agg(F.percentile_approx("log_perplexity", 0.5, 10_000).alias("middle")))
