@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.functions import text as tx
+from lexloom.operators import backoff as bk
 from lexloom.operators import ngrams as ng
 from lexloom.operators import subwords as sw
 from lexloom.operators import tokens as tk
@@ -258,6 +259,50 @@ def next_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# the chain of contexts that prompts end in: seen continuations and their interpolated probabilities
+CHAIN = f"""{GRAMS},
+single AS (SELECT token AS next, count(*) AS n, count(*)::DOUBLE / (SELECT count(*) FROM tok) AS p FROM tok GROUP BY token),
+asked AS (SELECT * FROM counted SEMI JOIN ends USING (prefix_len, prefix)),
+contexts AS (SELECT prefix_len, prefix, sum(n) AS total, 0.75 * count(*) / sum(n) AS weight FROM asked GROUP BY ALL),
+seen1 AS (SELECT a.prefix, a.next, s.p AS below, (a.n - 0.75) / c.total + c.weight * s.p AS p
+          FROM asked a JOIN contexts c USING (prefix_len, prefix) JOIN single s ON s.next = a.next WHERE prefix_len = 1),
+seen2 AS (SELECT a.prefix, a.next, s.p AS below, (a.n - 0.75) / c.total + c.weight * s.p AS p
+          FROM asked a JOIN contexts c USING (prefix_len, prefix)
+          JOIN seen1 s ON s.prefix = split_part(a.prefix, ' ', 2) AND s.next = a.next WHERE prefix_len = 2),
+first_best AS (SELECT next, p FROM single ORDER BY round(p, 9) DESC, next LIMIT 4),
+all1 AS (SELECT prefix, next, p FROM seen1 UNION ALL
+         SELECT c.prefix, f.next, c.weight * f.p FROM contexts c CROSS JOIN first_best f
+         WHERE c.prefix_len = 1 AND NOT EXISTS (SELECT 1 FROM seen1 s WHERE s.prefix = c.prefix AND s.next = f.next)),
+all2 AS (SELECT prefix, next, p FROM seen2 UNION ALL
+         SELECT c.prefix, f.next, c.weight * f.p FROM contexts c JOIN all1 f ON f.prefix = split_part(c.prefix, ' ', 2)
+         WHERE c.prefix_len = 2 AND NOT EXISTS (SELECT 1 FROM seen2 s WHERE s.prefix = c.prefix AND s.next = f.next)),
+lists AS (SELECT '' AS prefix, next, p FROM first_best UNION ALL SELECT * FROM all1 UNION ALL SELECT * FROM all2),
+places AS (SELECT prefix, next, p, row_number() OVER (PARTITION BY prefix ORDER BY round(p, 9) DESC, next) AS rank FROM lists),
+longest AS (SELECT prompt_id, coalesce(max(prefix_len), 0)::INTEGER AS prefix_len, coalesce(max_by(prefix, prefix_len), '') AS prefix
+            FROM prompts LEFT JOIN (SELECT * FROM ends SEMI JOIN contexts USING (prefix_len, prefix)) USING (prompt_id) GROUP BY prompt_id)"""
+
+
+@_R.add(
+    f"""WITH {CHAIN} SELECT prompt_id, prefix_len, rank::INTEGER AS rank, next, round(p, 6) AS prob
+    FROM longest JOIN places USING (prefix) WHERE rank <= 4"""
+)
+def next_tokens_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four likeliest of all tokens after every message, by the back-off chain down to single tokens."""
+    found = bk.complete_backoff(tb.docs(spark, sf_dir), _prompts(spark, sf_dir), k=4)
+    return found.withColumn("prob", F.round("prob", 6))
+
+
+@_R.add(
+    f"""WITH {GRAMS} SELECT prefix_len::INTEGER AS prefix_len, count(DISTINCT prefix) AS n_contexts, true AS whole FROM counted GROUP BY prefix_len
+    UNION ALL SELECT 0, 1, true"""
+)
+def backoff_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All contexts of up to two tokens, and whether the probabilities after each add up to one."""
+    mass = bk.context_mass(*bk.backoff_chain(tb.docs(spark, sf_dir)))
+    whole = F.bool_and(F.abs(F.col("mass") - 1) < 1e-9)
+    return mass.groupBy("prefix_len").agg(F.count(F.lit(1)).alias("n_contexts"), whole.alias("whole"))
+
+
 @_R.add(
     f"""WITH {GRAMS}, t AS (SELECT unnest([0.5, 1.0, 2.0])::DOUBLE AS temperature),
     p AS (SELECT prompt_id, temperature, rank, next,
