@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -133,13 +133,12 @@ def split_word(word: str, rank: dict[tuple[str, str], int]) -> list[str]:
     return pieces
 
 
-def subword_pieces(tokens: Column, merges: list[tuple[str, str, int]]) -> Column:
-    """The pieces of every token of a token array, in order.
+def split_words(tokens: Column, split: Callable[[str], list[str]]) -> Column:
+    """The pieces that ``split`` makes of every token of a token array, in order.
 
     Texts stay where they are; a batch's distinct words are split once and each Python worker
     remembers them, so no word needs a shuffle.
     """
-    rank = {(left, right): i for i, (left, right, _) in enumerate(merges)}
 
     @F.pandas_udf("array<string>")
     def pieces_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -152,10 +151,10 @@ def subword_pieces(tokens: Column, merges: list[tuple[str, str, int]]) -> Column
                 known.clear()
             for word in distinct:
                 if word not in known:
-                    known[word] = split_word(word, rank)
-            split = [known[word] for word in distinct]
-            sizes = np.array([len(p) for p in split], dtype=np.int64)
-            flat = np.array([piece for p in split for piece in p], dtype=object)
+                    known[word] = split(word)
+            parts = [known[word] for word in distinct]
+            sizes = np.array([len(p) for p in parts], dtype=np.int64)
+            flat = np.array([piece for p in parts for piece in p], dtype=object)
             # the pieces of each token stand together in `flat`
             first, n = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
             at = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -169,6 +168,12 @@ def subword_pieces(tokens: Column, merges: list[tuple[str, str, int]]) -> Column
     return pieces_of(tokens)
 
 
+def subword_pieces(tokens: Column, merges: list[tuple[str, str, int]]) -> Column:
+    """The pieces of every token of a token array by the learned merges, in order."""
+    rank = {(left, right): i for i, (left, right, _) in enumerate(merges)}
+    return split_words(tokens, lambda word: split_word(word, rank))
+
+
 def apply_subwords(
     docs: DataFrame, merges: list[tuple[str, str, int]], key: str = "doc_id", text: str = "text"
 ) -> DataFrame:

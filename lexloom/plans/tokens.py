@@ -10,7 +10,8 @@ from lexloom.operators import backoff as bk
 from lexloom.operators import ngrams as ng
 from lexloom.operators import subwords as sw
 from lexloom.operators import tokens as tk
-from lexloom.operators.frames import softmax_over, unnest
+from lexloom.operators import wordpiece as wp
+from lexloom.operators.frames import softmax_over, top_n, unnest
 from lexloom.plans.registry import Registry, words
 from lexloom.session import cut_lineage
 from lexloom.sources import tables as tb
@@ -210,6 +211,68 @@ def subword_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PIECE_WORDS = 2000
+WORDPIECES = f"""{TOKENS},
+counted_words AS (SELECT token, count(*) AS n FROM tok GROUP BY token),
+letters AS (SELECT DISTINCT unnest(regexp_extract_all(token, '(?s)(.)', 1)) AS c FROM counted_words WHERE n > 1),
+known AS (SELECT token AS piece, false AS inside FROM (SELECT token FROM counted_words ORDER BY n DESC, token LIMIT {PIECE_WORDS})
+          UNION SELECT c, false FROM letters UNION SELECT c, true FROM letters
+          UNION SELECT token[-3:], true FROM (SELECT token FROM counted_words ORDER BY n DESC, token LIMIT {PIECE_WORDS}) WHERE length(token) > 3),
+sizes AS (SELECT DISTINCT inside, length(piece) AS l FROM known),
+cuts AS (WITH RECURSIVE r(token, spot, pieces, stuck) AS (
+    SELECT token, 1, []::VARCHAR[], false FROM counted_words
+    UNION ALL
+    SELECT token, spot + coalesce(l, 0), list_append(pieces, CASE WHEN spot > 1 THEN '##' || piece ELSE piece END), l IS NULL
+    FROM (SELECT r.token, r.spot, r.pieces, max(k.l) AS l, max_by(k.piece, k.l) AS piece FROM r
+          LEFT JOIN (SELECT s.token, s.spot, z.l, k.piece FROM r s JOIN sizes z ON z.inside = (s.spot > 1) AND s.spot + z.l - 1 <= length(s.token)
+                     JOIN known k ON k.inside = z.inside AND k.piece = substr(s.token, s.spot, z.l)) k ON k.token = r.token AND k.spot = r.spot
+          WHERE NOT r.stuck AND r.spot <= length(r.token) GROUP BY r.token, r.spot, r.pieces))
+  SELECT token, CASE WHEN stuck THEN ['[UNK]'] ELSE pieces END AS pieces FROM r WHERE stuck OR spot > length(token))"""
+
+
+def _piece_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A vocabulary that is counted, not learned: frequent words, their endings, and the letters of words seen twice."""
+    counts = cut_lineage(tk.token_counts(tb.docs(spark, sf_dir), tx.ws_tokens("text")))
+    top = cut_lineage(top_n(counts, PIECE_WORDS, "n", "token").select("token"))
+    letters = counts.where("n > 1").select(F.explode(F.regexp_extract_all("token", F.lit("(?s)(.)"), F.lit(1))).alias("piece")).distinct()
+    ends = top.where("length(token) > 3").select(F.concat(F.lit(wp.INSIDE), F.expr("right(token, 3)")).alias("piece"))
+    inside = letters.select(F.concat(F.lit(wp.INSIDE), "piece").alias("piece"))
+    return top.select(F.col("token").alias("piece")).union(letters).union(inside).union(ends)
+
+
+@_R.add(
+    f"""WITH {WORDPIECES},
+    joined AS (SELECT doc_id, string_agg(array_to_string(pieces, ' '), ' ' ORDER BY pos) AS pieces, sum(len(pieces))::BIGINT AS n_pieces
+               FROM tok JOIN cuts USING (token) GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_pieces, 0) AS n_pieces, coalesce(pieces, '') AS pieces FROM documents LEFT JOIN joined USING (doc_id)"""
+)
+def wordpiece_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in word pieces, the longest known piece first."""
+    trie = wp.piece_trie(_piece_vocab(spark, sf_dir))
+    pieces = tb.docs(spark, sf_dir).select("doc_id", wp.wordpieces(tx.ws_tokens("text"), trie).alias("pieces"))
+    pieces = pieces.withColumn("pieces", F.coalesce("pieces", F.array().cast("array<string>")))
+    return pieces.select("doc_id", F.size("pieces").cast("bigint").alias("n_pieces"), F.array_join("pieces", " ").alias("pieces"))
+
+
+@_R.add(
+    f"""WITH {WORDPIECES}, v AS (
+      SELECT 'whitespace' AS variant, unnest({words('text')}) AS token FROM documents
+      UNION ALL SELECT 'lower letters', unnest(regexp_extract_all(lower(text), '{tx.LETTER_RUN}', 1)) FROM documents
+      UNION ALL SELECT 'character', unnest(regexp_extract_all(text, '(?s)(.)', 1)) FROM documents
+      UNION ALL SELECT 'subword', unnest(pieces) FROM tok JOIN cuts USING (token)),
+    c AS (SELECT variant, token, count(*) AS n FROM v GROUP BY ALL)
+    SELECT variant, sum(n)::BIGINT AS tokens, count(*) AS distinct_tokens, count(*) FILTER (n >= 2) AS vocab_size,
+           round(sum(n)::DOUBLE / (SELECT count(*) FROM documents), 6) AS tokens_per_doc,
+           round(coalesce(sum(n) FILTER (n < 2), 0)::DOUBLE / sum(n)::DOUBLE, 6) AS unknown_rate
+    FROM c GROUP BY variant"""
+)
+def tokenizer_report_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four tokenizers on the documents, word pieces among them."""
+    trie = wp.piece_trie(_piece_vocab(spark, sf_dir))
+    full = tk.tokenizer_report(tb.docs(spark, sf_dir), extra={"subword": wp.wordpieces(tx.ws_tokens("text"), trie)})
+    return full.withColumn("tokens_per_doc", F.round("tokens_per_doc", 6)).withColumn("unknown_rate", F.round("unknown_rate", 6))
+
+
 GRAMS = f"""{TOKENS},
 steps AS (SELECT doc_id, pos, token, lag(token) OVER w AS before, lead(token) OVER w AS nxt
           FROM tok WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
