@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,21 +80,50 @@ def write_if_absent(
 ) -> DataFrame:
     """Write Parquet unless ``path`` holds a finished copy, then read that copy back.
 
-    A path without the success marker is the remainder of a failed write or belongs to
-    somebody else; it is neither used nor overwritten.
+    The copy is written beside ``path`` and renamed to it in one step that fails if ``path`` is there by then. Of two
+    writers at once one wins; the other drops its own copy and reads the winner's. Nobody sees half a copy, and a
+    writer that dies leaves only a staged folder. The step is atomic on local disks and on HDFS; a store without
+    atomic renames of folders gives no such promise.
+
+    A path without the success marker belongs to somebody else; it is neither used nor overwritten.
     """
     spark = df.sparkSession
+    path = path.rstrip("/")
     if not _exists(spark, path):
+        staged = f"{path}.staged-{uuid.uuid4().hex}"
         writer = df.write.mode("errorifexists")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    elif not _exists(spark, path.rstrip("/") + "/_SUCCESS"):
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staged)
+        if not _put_if_absent(spark, staged, path):
+            _file_system(spark, staged).delete(spark._jvm.org.apache.hadoop.fs.Path(staged), True)
+    if not _exists(spark, path + "/_SUCCESS"):
         raise FileExistsError(f"{path} exists without a success marker")
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def _file_system(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _put_if_absent(spark: SparkSession, staged: str, path: str) -> bool:
+    """Rename a written folder; False if ``path`` exists, which is left as it is."""
+    jvm = spark._jvm
+    system = _file_system(spark, path)
+    source, target = (system.makeQualified(jvm.org.apache.hadoop.fs.Path(p)) for p in (staged, path))
+    if system.getUri().getScheme() == "file":
+        # the system's own rename, which refuses a folder that holds something
+        return jvm.java.io.File(source.toUri().getPath()).renameTo(jvm.java.io.File(target.toUri().getPath()))
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration()).rename(source, target, options)
+    except Py4JJavaError as failure:
+        if "FileAlreadyExistsException" in str(failure.java_exception):
+            return False
+        raise
+    return True
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return _file_system(spark, path).exists(spark._jvm.org.apache.hadoop.fs.Path(path))
 
 
 def take_split(df: DataFrame, name: str, column: str = "split") -> DataFrame:

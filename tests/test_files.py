@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import threading
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from lexloom.operators import frames as fr
@@ -149,3 +152,27 @@ def test_score_with_status(spark):
 
     got = {r["t"]: (r["result"], r["ok"], r["error"]) for r in score_with_status(frame, "t", make).collect()}
     assert got == {"a": ("A", True, None), "bad": (None, False, "KeyError"), None: (None, False, "AttributeError")}
+
+
+def test_of_two_writers_at_once_one_wins(spark, tmp_path):
+    gate = threading.Barrier(4)
+
+    def write(k):
+        gate.wait()
+        return sorted(r["k"] for r in fl.write_if_absent(spark.range(200).selectExpr(f"{k} AS k", "id"), path).collect())
+
+    for turn in range(3):
+        path = str(tmp_path / f"raced{turn}")
+        with ThreadPoolExecutor(4) as pool:
+            got = list(pool.map(write, range(4)))
+        assert all(g == got[0] for g in got) and len(got[0]) == 200 and len(set(got[0])) == 1
+        assert [p.name for p in tmp_path.iterdir() if "staged" in p.name] == []
+
+
+def test_a_copy_that_came_meanwhile_is_left_alone(spark, tmp_path):
+    staged, taken = tmp_path / "mine", tmp_path / "taken"
+    spark.range(3).write.parquet(str(staged))
+    spark.range(5).write.parquet(str(taken))
+    assert not fl._put_if_absent(spark, str(staged), str(taken))
+    assert spark.read.parquet(str(taken)).count() == 5 and staged.exists()
+    assert fl._put_if_absent(spark, str(staged), str(tmp_path / "free")) and not staged.exists()
