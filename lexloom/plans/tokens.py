@@ -322,6 +322,21 @@ def next_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_R.add(
+    f"""WITH {GRAMS},
+    heat AS (SELECT prefix, next, n, unnest([0.5, 1.0])::DOUBLE AS temperature FROM counted WHERE prefix_len = 1),
+    drawn AS (SELECT prefix, temperature, next,
+                     round(ln(n) / temperature - ln(-ln((('0x' || substr(md5('42' || chr(10) || printf('%.6f', temperature) || chr(10) || prefix || chr(10) || next),
+                                                                          1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496)), 9) AS key FROM heat)
+    SELECT prefix, temperature, (row_number() OVER w)::INTEGER AS rank, next FROM drawn
+    WINDOW w AS (PARTITION BY prefix, temperature ORDER BY key DESC, next) QUALIFY row_number() OVER w <= 2"""
+)
+def next_token_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two continuations of every token, drawn at two temperatures."""
+    drawn = ng.draw_tokens(ng.next_counts(tb.docs(spark, sf_dir)), 2, [0.5, 1.0])
+    return drawn.select("prefix", "temperature", "rank", "next")
+
+
 # the chain of contexts that prompts end in: seen continuations and their interpolated probabilities
 CHAIN = f"""{GRAMS},
 single AS (SELECT token AS next, count(*) AS n, count(*)::DOUBLE / (SELECT count(*) FROM tok) AS p FROM tok GROUP BY token),
