@@ -90,6 +90,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     :func:`clean_up`, as frames that read them may still be run.
     """
     spark = df.sparkSession
+    ship_package(spark)
     path = f"{_tables_of(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
