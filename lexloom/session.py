@@ -82,6 +82,11 @@ def _tables_of(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/lexloom-{spark.sparkContext.applicationId}"
 
 
+def new_path(spark: SparkSession) -> str:
+    """An unused path in the shared folder; what is written there stays until :func:`clean_up`."""
+    return f"{_tables_of(spark)}/{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to a table in the shared folder and continue from it.
 
@@ -91,7 +96,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     ship_package(spark)
-    path = f"{_tables_of(spark)}/{uuid.uuid4().hex}"
+    path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

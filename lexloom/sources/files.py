@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,22 +28,33 @@ def sequences_from_text(df: DataFrame, source: str, text: str, skip: int = 2) ->
     )
 
 
-def read_sequences(spark: SparkSession, path: str, skip: int = 2) -> DataFrame:
-    """Sequence files, one sequence per line, without the first ``skip`` (header) lines of each file.
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of text files: ``(source, block_start, line, value)`` with 0-based numbers over the whole file.
 
-    Result: ``(source, block_start, line, items)``; the first three order the lines of a file. Large files are
-    read split by split: ``line`` counts inside a task, and headers are found by their place in a
-    file's first split, which must hold them.
+    Files are read split by split. A first pass counts the lines of each split; the counts of a file's earlier splits,
+    one row each, are what a split's own numbers start from. Empty lines count, an empty file has none.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("source"),
         F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("line"),
+        F.monotonically_increasing_id().alias("id"),
         "value",
     )
-    heads = lines.filter(F.col("block_start") == 0).groupBy("source").agg(F.min("line").alias("_first"))
-    header = (F.col("block_start") == 0) & (F.col("line") - F.col("_first") < skip)
-    kept = checked_join(lines, heads, "source", by="line", how="left").filter(~F.coalesce(header, F.lit(False)))
+    lines = lines.withColumn("_block", F.concat_ws(":", "block_start", "source"))
+    # ids are consecutive inside a split
+    blocks = lines.groupBy("source", "block_start", "_block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    up_to = Window.partitionBy("source").orderBy("block_start")
+    shifts = blocks.select("_block", (F.sum("n").over(up_to) - F.col("n") - F.col("first")).alias("_shift"))
+    joined = checked_join(lines, shifts, "_block", by="id")
+    return joined.select("source", "block_start", (F.col("id") + F.col("_shift")).alias("line"), "value")
+
+
+def read_sequences(spark: SparkSession, path: str, skip: int = 2) -> DataFrame:
+    """Sequence files, one sequence per line, without the first ``skip`` (header) lines of each file.
+
+    Result: ``(source, block_start, line, items)``; ``line`` is the line's number in its file, headers counted.
+    """
+    kept = numbered_lines(spark, path).filter(F.col("line") >= skip)
     return kept.select("source", "block_start", "line", ws_tokens("value").alias("items"))
 
 

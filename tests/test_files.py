@@ -36,6 +36,27 @@ def test_large_sequence_files_are_split(spark, tmp_path):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert [r["items"] for r in rows] == [[f"{name}{k}", "x"] for name in ("a", "b") for k in range(2000)]
+    assert [r["line"] for r in rows] == [*range(2, 2002)] * 2
+
+
+@pytest.mark.parametrize("split", ["16", "100", "1g"])
+def test_lines_are_numbered_over_the_whole_file_whatever_the_splits(spark, tmp_path, split):
+    texts = {"a": "h" * 300 + "\n\nx 1\n" + "\n" * 40 + "last", "b": "one\n", "c": "", "d": "\n\n\n", "e": "no end é"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.txt").write_text(text)
+    sizes = {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        got = sorted((r["source"].rsplit("/", 1)[1][0], r["line"], r["value"]) for r in fl.numbered_lines(spark, str(tmp_path)).collect())
+        kept = fl.read_sequences(spark, str(tmp_path)).where("size(items) > 0").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == [(name, k, x) for name, text in sorted(texts.items()) for k, x in enumerate(text.splitlines())]
+    # the second header line is in a later split than the first
+    assert sorted(r["items"] for r in kept) == [["last"], ["x", "1"]]
 
 
 def test_catalog_file(spark, tmp_path):
