@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from lexloom.llm.arrays import INVERSE, combine, mix, pieces, powers, prefix_hash, run_lengths, span_hash, utf8
 from lexloom.llm.spans import cut_out, digests_of, tags_of
-from lexloom.llm.suffix_sort import sorted_suffixes
+from lexloom.llm.suffix_sort import CAP, sorted_suffixes
 from lexloom.session import cut_lineage
 
 SALTS = 16
@@ -317,7 +317,7 @@ def _runs(folder: Path, size: int, starts: np.ndarray, least: np.ndarray, most:
     first = np.asarray(np.memmap(folder / "first", np.int32, "w+", shape=(size,)))
     ends = np.append(starts[1:], size) - 1
     open_at, open_least = np.zeros(0, np.int64), None
-    for positions, lcps in sorted_suffixes(text, 258, folder / "sort", spec.queue_items):
+    for positions, lcps in sorted_suffixes(text, 258, folder / "sort", spec.queue_items, cap=max(CAP, spec.length)):
         owner = np.searchsorted(starts, positions, "right") - 1
         whole = ends[owner] - positions >= spec.length
         doc = np.where(whole, least[owner], len(documents)).astype(np.int32)

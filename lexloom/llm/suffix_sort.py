@@ -17,7 +17,7 @@ import numpy as np
 from lexloom.llm.arrays import BASE, INVERSE, mix, powers, run_lengths
 
 BLOCK = 1 << 15
-#: Common prefixes are counted up to this length.
+#: Common prefixes are counted up to this length, if no other is given.
 CAP = 64
 NONE = np.iinfo(np.int64).max
 
@@ -185,16 +185,20 @@ def order_in_memory(names: np.ndarray) -> np.ndarray:
     return order
 
 
+def _count_kind(cap: int) -> type:
+    return np.int16 if cap < 1 << 15 else np.int32
+
+
 class _Induced:
     """One pass over the queue: takes suffixes in order and hands on those of one type that they induce."""
 
-    def __init__(self, text, is_s, n_symbols: int, down: bool, folder: Path, limit: int, lcp: bool) -> None:
-        self.text, self.is_s, self.down, self.lcp = text, is_s, down, lcp
+    def __init__(self, text, is_s, n_symbols: int, down: bool, folder: Path, limit: int, lcp: bool, cap: int) -> None:
+        self.text, self.is_s, self.down, self.lcp, self.cap, self.count = text, is_s, down, lcp, cap, _count_kind(cap)
         self.n_keys = 2 * n_symbols
         self.kind = np.uint16 if self.n_keys < 1 << 16 else np.int64
         self.queue = DiskQueue(self.n_keys, len(text), folder, limit)
         # the least common prefix since the last item of each key; -1 while there is none
-        self.least = np.full(self.n_keys if lcp else 0, -1, np.int16)
+        self.least = np.full(self.n_keys if lcp else 0, -1, self.count)
         self.last = -1
 
     def key(self, symbol: np.ndarray, is_s) -> np.ndarray:
@@ -204,7 +208,7 @@ class _Induced:
     def seed(self, positions: np.ndarray, lcps: np.ndarray) -> None:
         """Positions in the order of the pass."""
         keys = self.key(self.text[positions], self.is_s[positions])
-        self.queue.push(keys, positions, lcps.astype(np.int16))
+        self.queue.push(keys, positions, lcps.astype(self.count))
 
     def run(self):
         most = BLOCK
@@ -232,7 +236,7 @@ class _Induced:
             self.queue.take(n)
             order = np.argsort(target, kind="stable")
             source, target = source[order], target[order]
-            common = self._common(source, target, lcps) if self.lcp else np.zeros(len(source), np.int16)
+            common = self._common(source, target, lcps) if self.lcp else np.zeros(len(source), self.count)
             self.queue.push(target, before[source], common)
             yield positions, lcps
 
@@ -242,9 +246,9 @@ class _Induced:
         plain = self.n_keys - 1 - keys.astype(np.int64) if self.down else keys.astype(np.int64)
         meets = np.flatnonzero((plain[1:] != plain[:-1]) & (plain[1:] >> 1 == plain[:-1] >> 1)) + 1
         if len(meets):
-            lcps[meets] = common_prefix(self.text, positions[meets - 1], positions[meets])
+            lcps[meets] = common_prefix(self.text, positions[meets - 1], positions[meets], self.cap)
         if self.last >= 0 and self.text[self.last] == plain[0] >> 1 and self.is_s[self.last] != plain[0] & 1:
-            lcps[0] = common_prefix(self.text, np.array([self.last]), positions[:1])[0]
+            lcps[0] = common_prefix(self.text, np.array([self.last]), positions[:1], self.cap)[0]
         self.last = int(positions[-1])
         return lcps
 
@@ -253,28 +257,28 @@ class _Induced:
         lowest = lcps.min()
         if not len(source):
             np.minimum(self.least, lowest, out=self.least)
-            return np.zeros(0, np.int16)
+            return np.zeros(0, self.count)
         fresh = np.ones(len(target), dtype=bool)
         fresh[1:] = target[1:] != target[:-1]
         start = np.where(fresh, 0, np.append(0, source[:-1] + 1))
         cuts = np.stack([start, source + 1], axis=1).ravel()
-        common = np.minimum.reduceat(np.append(lcps, CAP).astype(np.int16), cuts)[::2]
+        common = np.minimum.reduceat(np.append(lcps, self.cap).astype(self.count), cuts)[::2]
         common = np.where(fresh, np.minimum(common, self.least[target]), common)
         np.minimum(self.least, lowest, out=self.least)
         final = np.append(fresh[1:], True)
         # what has passed since the last item of each target
-        rest = np.append(np.minimum.accumulate(lcps[::-1])[::-1], CAP)
+        rest = np.append(np.minimum.accumulate(lcps[::-1])[::-1], self.cap)
         self.least[target[final]] = rest[source[final] + 1]
-        return np.minimum(common + 1, CAP).astype(np.int16)
+        return np.minimum(common + 1, self.cap).astype(self.count)
 
 
-def sorted_suffixes(text: np.ndarray, n_symbols: int, folder: Path, limit: int = 1 << 20, in_memory: int = 1 << 22, lcp: bool = True):
+def sorted_suffixes(text: np.ndarray, n_symbols: int, folder: Path, limit: int = 1 << 20, in_memory: int = 1 << 22, lcp: bool = True, cap: int = CAP):
     """Blocks of ``(positions, common prefix with the suffix before)`` from the largest suffix to the smallest.
 
     ``text`` holds symbols below ``n_symbols``; its last one is 0 and occurs nowhere else. That last suffix is
     not returned. ``limit`` is the number of tuples the queue keeps in memory; names up to
     ``in_memory`` are ordered there, more of them by this procedure. The recursion on names needs the
-    order alone and runs without ``lcp``.
+    order alone and runs without ``lcp``. Common prefixes are counted up to ``cap``.
     """
     folder = Path(folder)
     folder.mkdir(exist_ok=True)
@@ -292,13 +296,13 @@ def sorted_suffixes(text: np.ndarray, n_symbols: int, folder: Path, limit: int =
         down = [p for p, _ in sorted_suffixes(names, n_names, folder / "names", limit, in_memory, False)]
         order = np.concatenate([*down, [len(names) - 1]])[::-1]
     seeds = stars[order]
-    up = _Induced(text, is_s, n_symbols, False, folder / "up", limit, lcp)
+    up = _Induced(text, is_s, n_symbols, False, folder / "up", limit, lcp, cap)
     for lo in range(0, len(seeds), BLOCK):
         part = seeds[lo : lo + BLOCK]
         prior = seeds[max(0, lo - 1) : lo + len(part) - 1]
-        common = common_prefix(text, prior, part[len(part) - len(prior) :]) if lcp else np.zeros(len(prior), np.int64)
+        common = common_prefix(text, prior, part[len(part) - len(prior) :], cap) if lcp else np.zeros(len(prior), np.int64)
         up.seed(part, np.append(np.zeros(len(part) - len(prior), np.int64), common))
-    entry = np.dtype([("at", np.int32 if len(text) < 1 << 31 else np.int64), ("lcp", np.int16)])
+    entry = np.dtype([("at", np.int32 if len(text) < 1 << 31 else np.int64), ("lcp", _count_kind(cap))])
     with (folder / "larger").open("wb") as out:
         for positions, lcps in up.run():
             kept = ~is_s[positions]
@@ -306,7 +310,7 @@ def sorted_suffixes(text: np.ndarray, n_symbols: int, folder: Path, limit: int =
             found["at"], found["lcp"] = positions[kept], lcps[kept]
             found.tofile(out)
     size = (folder / "larger").stat().st_size // entry.itemsize
-    down = _Induced(text, is_s, n_symbols, True, folder / "down", limit, lcp)
+    down = _Induced(text, is_s, n_symbols, True, folder / "down", limit, lcp, cap)
     if size:
         larger = np.memmap(folder / "larger", entry, "r", shape=(size,))
         for hi in range(size, 0, -BLOCK):

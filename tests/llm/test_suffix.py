@@ -30,6 +30,22 @@ def test_suffixes_and_common_prefixes(tmp_path, symbols, length, limit, in_memor
         assert c == min(n, CAP)
 
 
+@pytest.mark.parametrize("cap", [3, 150, 1 << 16])
+def test_common_prefixes_up_to_any_length(tmp_path, cap):
+    rng = np.random.default_rng(cap)
+    part = rng.integers(1, 4, 200)
+    text = np.concatenate([part, [4], part[30:], rng.integers(1, 4, 50), part, [0]]).astype(np.int32)
+    blocks = list(sorted_suffixes(text, 5, tmp_path / "sort", 64, 8, cap=cap))
+    order, common = (np.concatenate(x).tolist() for x in zip(*blocks, strict=True))
+    plain = text.tolist()
+    assert order == slow_order(plain)
+    for a, b, c in zip(order, order[1:], common[1:], strict=False):
+        n = 0
+        while plain[a + n] == plain[b + n]:
+            n += 1
+        assert c == min(n, cap)
+
+
 def test_order_in_memory():
     names = np.append(np.tile([3, 1, 2, 1], 20), 0)
     plain = names.tolist()
@@ -70,7 +86,7 @@ def planted(seed: int) -> list[tuple[int, str]]:
     return rows
 
 
-@pytest.mark.parametrize("spec", [Repeats(), Repeats(part_bytes=1500, shard_bytes=400, queue_items=64, held=64, table_bits=256, known_copies=0)])
+@pytest.mark.parametrize("spec", [Repeats(), Repeats(part_bytes=1500, shard_bytes=400, queue_items=64, held=64, table_bits=256, known_copies=0), Repeats(length=65), Repeats(length=100), Repeats(length=100, shard_bytes=400, queue_items=64, part_bytes=1500)])
 def test_repeats_equal_brute_force(spark, spec):
     rows = planted(spec.shard_bytes % 97)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
