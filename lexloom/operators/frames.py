@@ -30,17 +30,20 @@ SENT_ROWS = 100_000
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, key: str, by: str, how: str = "inner", salts: int = 16
+    left: DataFrame, right: DataFrame, key: str, by: str, how: str = "inner", salts: int = 1
 ) -> DataFrame:
-    """Join ``left`` to a ``right`` whose keys are unique, one key's rows on ``salts`` tasks.
+    """Join ``left`` to a ``right`` whose keys are unique; ``left`` may have many rows of one key.
 
-    For a left side in which one key may hold a large share of the rows: its rows are divided
-    by a hash of column ``by``, and every right row is repeated once per salt. Both sides of
-    the join are then plain exchanges, which Spark splits further where a part stays large.
+    Both sides are plain exchanges that meet in a merge join: neither is sent to every task or held by
+    the driver, and Spark's skew handling splits a part that one key makes large. A ``right`` that is small
+    beside ``left`` can be repeated ``salts`` times, so that a key's rows are divided by a hash of column ``by``.
     """
+    if salts == 1:
+        return left.join(right.hint("merge"), key, how)
     salt = F.pmod(F.xxhash64(by), F.lit(salts))
     repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    return left.withColumn("_salt", salt).join(repeated, [key, "_salt"], how).drop("_salt")
+    # Spark takes the repeated rows for as few as they were, so it must not choose a broadcast by their size
+    return left.withColumn("_salt", salt).join(repeated.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 
 def checked_join(
@@ -49,7 +52,7 @@ def checked_join(
     """Join ``left`` to a ``right`` whose keys are unique and usually few.
 
     ``right`` is written to the shared folder and counted up to ``most`` rows: that many go to every
-    task and ``left`` is not shuffled; more of them meet it in a salted join.
+    task and ``left`` is not shuffled; more of them meet it in a merge join.
     """
     written = cut_lineage(right)
     if written.limit(most + 1).count() <= most:
