@@ -24,3 +24,11 @@ def test_a_large_right_side_is_neither_sent_nor_repeated(spark, join):
     joined = join(left, right, "w", "k")
     assert "Broadcast" not in plan_of(joined) and "Generate" not in plan_of(joined)
     assert joined.agg(F.sum("v")).first()[0] == sum(2 * (i % 50) for i in range(1000))
+
+
+def test_item_vectors_are_a_table_with_all_items(spark):
+    rows = [(1, 0, "a"), (1, 1, "b"), (1, 2, "a"), (2, 0, "alone"), (3, 0, None)]
+    frame = spark.createDataFrame(rows, "seq_id bigint, pos bigint, item string")
+    model = sq.train_item_vectors(frame, dim=4, window=2)
+    assert {r["item"]: len(r["vec"]) for r in model.table.collect()} == {"a": 4, "b": 4, "alone": 4, None: 4}
+    assert [r["word"] for r in model.findSynonyms("a", 1).collect()] in (["b"], ["alone"])
