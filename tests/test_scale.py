@@ -32,3 +32,17 @@ def test_item_vectors_are_a_table_with_all_items(spark):
     model = sq.train_item_vectors(frame, dim=4, window=2)
     assert {r["item"]: len(r["vec"]) for r in model.table.collect()} == {"a": 4, "b": 4, "alone": 4, None: 4}
     assert [r["word"] for r in model.findSynonyms("a", 1).collect()] in (["b"], ["alone"])
+
+
+def test_prefixes_drop_other_runs_before_counting(spark):
+    docs = spark.createDataFrame([("a b c a b d x y",), ("b c a b c",), (None,)], "text string")
+    wanted = spark.createDataFrame([(1, "b"), (2, "a b"), (2, "z z")], "prefix_len int, prefix string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counts = ng.next_counts(docs, 2, prefixes=wanted)
+        plan = plan_of(counts)
+        assert "BroadcastHashJoin" in plan[plan.index("HashAggregate") :]
+        got = {tuple(r) for r in counts.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {(1, "b", "c", 3), (1, "b", "d", 1), (2, "a b", "c", 2), (2, "a b", "d", 1)}
