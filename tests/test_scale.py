@@ -46,3 +46,24 @@ def test_prefixes_drop_other_runs_before_counting(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == {(1, "b", "c", 3), (1, "b", "d", 1), (2, "a b", "c", 2), (2, "a b", "d", 1)}
+
+
+def test_slices_of_lists_are_bounded():
+    lists = pa.array([["a"] * 3, None, [], ["b"] * 9, ["c"], ["d"] * 4])
+    assert list(tk.row_slices(lists, 5)) == [(0, 3), (3, 1), (4, 2)]
+    assert list(tk.row_slices(pa.array([], pa.list_(pa.string())), 5)) == []
+
+
+class Sent:
+    value = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "w"]
+
+
+def test_encoder_and_decoder_take_a_batch_in_slices():
+    n = tk.SLICE_ELEMENTS // 2
+    batch = pa.record_batch([pa.array([1, 2, 3]), pa.array([["w"] * n, ["w", "?"], ["w"] * n])], names=["k", "tokens"])
+    found = list(tk._encoder(Sent, ["k"])(iter([batch])))
+    assert [b.num_rows for b in found] == [1, 2] or [b.num_rows for b in found] == [2, 1]
+    table = pa.Table.from_batches(found)
+    assert table["ids"][1].as_py() == [2, 4, 1, 3] and [len(x) for x in table["ids"].to_pylist()] == [n + 2, 4, n + 2]
+    back = [b for x in found for b in tk._decoder(Sent, ["k"], [0, 2, 3])(iter([x]))]
+    assert pa.Table.from_batches(back)["text"].to_pylist()[1] == "w [UNK]"
