@@ -5,19 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions.text import ws_tokens
 from lexloom.operators.frames import unnest
-from lexloom.operators.tokens import token_counts
+from lexloom.operators.tokens import row_slices, token_counts
 from lexloom.session import cut_lineage
 
 # A word is a string of symbols, each with one space on both sides; words hold no space
 # themselves. So " a  b " is the pair (a, b) and plain text replacement merges it.
 _EVERY_CHAR = r"(?s)(.)"
-_CACHED_WORDS = 200_000
+# Words whose pieces a worker remembers (some tens of MB).
+_CACHED_WORDS = 50_000
 
 
 def word_table(docs: DataFrame, text: str = "text", tokens: Column | None = None) -> DataFrame:
@@ -134,40 +135,45 @@ def split_word(word: str, rank: dict[tuple[str, str], int]) -> list[str]:
 
 
 def split_words(tokens: Column, split: Callable[[str], list[str]]) -> Column:
-    """The pieces that ``split`` makes of every token of a token array, in order.
+    """The pieces that ``split`` makes of every token of a token array, in order; null for a null array.
 
-    Texts stay where they are; a batch's distinct words are split once and each Python worker
-    remembers them, so no word needs a shuffle.
+    Texts stay where they are: a batch goes through in slices of bounded size, the distinct words of a slice are split
+    once and each Python worker remembers some, so no word needs a shuffle.
     """
 
-    @F.pandas_udf("array<string>")
-    def pieces_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<string>")
+    def pieces_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known: dict[str, list[str]] = {}
         for batch in batches:
-            there = batch.notna()
-            rows = [np.asarray(words, dtype=object) for words in batch[there]]
-            codes, distinct = pd.factorize(np.concatenate(rows) if rows else np.zeros(0, dtype=object))
-            if len(known) > _CACHED_WORDS:
-                known.clear()
-            for word in distinct:
-                if word not in known:
-                    known[word] = split(word)
-            parts = [known[word] for word in distinct]
-            sizes = np.array([len(p) for p in parts], dtype=np.int64)
-            flat = np.array([piece for p in parts for piece in p], dtype=object)
-            # the pieces of each token stand together in `flat`
-            first, n = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
-            at = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            per_row = np.add.reduceat(np.append(n, 0), np.cumsum([0, *map(len, rows)])[:-1]) if rows else n
-            per_row = np.where([len(r) > 0 for r in rows], per_row, 0)
-            out = pd.Series([None] * len(batch), index=batch.index, dtype=object)
-            cut = np.split(flat[at], np.cumsum(per_row)[:-1]) if rows else []
-            out[there] = pd.Series(cut, index=batch.index[there], dtype=object)
-            yield out
+            for at, n_rows in row_slices(batch):
+                yield _slice_pieces(batch.slice(at, n_rows), split, known)
 
     return pieces_of(tokens)
 
 
+def _slice_pieces(rows: pa.ListArray, split: Callable[[str], list[str]], known: dict[str, list[str]]) -> pa.ListArray:
+    words = rows.flatten().dictionary_encode()
+    parts = []
+    for word in words.dictionary.to_pylist():
+        pieces = known.get(word)
+        if pieces is None:
+            pieces = split(word)
+            if len(known) < _CACHED_WORDS:
+                known[word] = pieces
+        parts.append(pieces)
+    codes = words.indices.to_numpy()
+    sizes = np.array([len(p) for p in parts], dtype=np.int64)
+    flat = pa.array([piece for p in parts for piece in p], pa.string())
+    # the pieces of each word stand together in `flat`
+    first, n = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
+    ends = np.append(0, np.cumsum(n))
+    at = np.repeat(first - ends[:-1], n) + np.arange(ends[-1])
+    cuts = ends[np.append(0, np.cumsum(np.asarray(rows.value_lengths().fill_null(0))))]
+    # a null offset makes a null row
+    gone = np.append(np.asarray(rows.is_null()), False)
+    return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32), mask=gone), flat.take(pa.array(at)))
+
+
 def subword_pieces(tokens: Column, merges: list[tuple[str, str, int]]) -> Column:
     """The pieces of every token of a token array by the learned merges, in order."""
     rank = {(left, right): i for i, (left, right, _) in enumerate(merges)}

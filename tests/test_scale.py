@@ -67,3 +67,10 @@ def test_encoder_and_decoder_take_a_batch_in_slices():
     assert table["ids"][1].as_py() == [2, 4, 1, 3] and [len(x) for x in table["ids"].to_pylist()] == [n + 2, 4, n + 2]
     back = [b for x in found for b in tk._decoder(Sent, ["k"], [0, 2, 3])(iter([x]))]
     assert pa.Table.from_batches(back)["text"].to_pylist()[1] == "w [UNK]"
+
+
+def test_words_are_split_slice_by_slice():
+    rows = pa.array([["ab", "c"], None, [], ["c", "ab", "ab"]])
+    known: dict[str, list[str]] = {}
+    assert sw._slice_pieces(rows, list, known).to_pylist() == [["a", "b", "c"], None, [], ["c", "a", "b", "a", "b"]]
+    assert sw._slice_pieces(rows.slice(1, 3), list, known).to_pylist() == [None, [], ["c", "a", "b", "a", "b"]]
