@@ -370,34 +370,26 @@ def context_vectors(
 
     The base vector of a token is 1 in its bucket; its context vector is the average of the
     base vectors from ``radius`` places before to ``radius`` places behind it. A plain local
-    average, not a neural encoder. Built inside each row, without a shuffle. With ``only``, places of
-    other tokens are left out before their neighbours are taken.
+    average, not a neural encoder. Built without a shuffle. With ``only``, places of other tokens are left out
+    before their neighbours are counted.
     """
     size = F.size(tokens)
-    places = F.transform(F.col(tokens), lambda t, i: F.struct(i.alias("pos"), t.alias("token")))
+    near = [F.slice(F.concat(F.array_repeat(F.lit(None).cast("int"), k), buckets), 1, size) for k in range(radius, 0, -1)]
+    near += [F.slice(buckets, k + 1, size) for k in range(radius + 1)]
+    names = [f"b{k}" for k in range(len(near))]
+    # one row per place with its neighbours' buckets, null beyond the ends
+    places = F.arrays_zip(F.col(tokens).alias("token"), *[b.alias(name) for b, name in zip(near, names, strict=True)])
+    at = unnest(docs, places, key, name="s", pos="pos").select(key, "pos", "s.*")
     if only is not None:
-        places = F.filter(places, lambda p: p["token"].isin(only))
-
-    def around(p: Column) -> Column:
-        first = F.greatest(p["pos"] - radius, F.lit(0))
-        near = F.slice(F.col(buckets), first + 1, F.least(p["pos"] + radius + 1, size) - first)
-        return F.struct(p["pos"].alias("pos"), p["token"].alias("token"), near.alias("near"))
-
-    spans = F.transform(places, around)
-    at = unnest(docs, spans, key, name="s").select(key, "s.*")
-    return _spread_mass(at, [key, "pos", "token"])
+        at = at.where(F.col("token").isin(only))
+    return _spread_mass(at.withColumn("near", F.array_compact(F.array(*names))), [key, "pos", "token"])
 
 
 def _spread_mass(at: DataFrame, keys: list[str]) -> DataFrame:
     """Each place's neighbour buckets to ``(…, bucket, x)``, repeated buckets added up in the row."""
-    shares = F.transform(
-        F.array_distinct("near"),
-        lambda b: F.struct(
-            b.alias("bucket"),
-            (F.size(F.filter("near", lambda o: o == b)) / F.size("near")).alias("x"),
-        ),
-    )
-    return unnest(at, shares, *keys, name="c").select(*keys, "c.*")
+    shares = unnest(at, F.array_distinct("near"), *keys, "near", name="bucket")
+    same = F.size("near") - F.size(F.array_remove("near", F.col("bucket")))
+    return shares.select(*keys, "bucket", (same / F.size("near")).alias("x"))
 
 
 def mean_context(contexts: DataFrame, key: str = "doc_id", token: str = "token") -> DataFrame:

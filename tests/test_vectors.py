@@ -248,3 +248,12 @@ def test_unequal_lengths_are_an_error_in_a_cell_too(spark, monkeypatch):
     asked = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0]), (3, [1.0, 2.0, 3.0]), (4, [1.0]), (5, [1.0, 1.0])], "query bigint, vec array<double>")
     with pytest.raises(Exception, match="one length"):
         vo.most_similar_to_vector(vecs, asked, 2).collect()
+
+
+def test_context_vectors_look_through_no_text_place_by_place(spark):
+    frame = spark.createDataFrame([(1, ["a", "b", "a"], [0, 1, 0])], "doc_id bigint, tokens array<string>, buckets array<int>")
+    got = vo.context_vectors(frame, "buckets", 1)
+    assert "transform(" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["pos"], r["bucket"]): round(r["x"], 6) for r in got.collect()} == {
+        (0, 0): 0.5, (0, 1): 0.5, (1, 0): 0.666667, (1, 1): 0.333333, (2, 0): 0.5, (2, 1): 0.5,
+    }
