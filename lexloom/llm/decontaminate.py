@@ -82,6 +82,9 @@ class Patterns:
     owner: np.ndarray
     place: np.ndarray
     table: np.ndarray
+    sizes: np.ndarray  # of the patterns: bytes, edits allowed, fewest shared q-grams
+    edits: np.ndarray
+    least: np.ndarray
 
 
 def _gram_keys(data: np.ndarray, q: int) -> np.ndarray:
@@ -112,16 +115,17 @@ def index_patterns(rows: list[tuple[int, str]], spec: Lemma) -> Patterns:
     order = np.argsort(flat, kind="stable")
     table = np.zeros(1 << TABLE_BITS, dtype=bool)
     table[(flat >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
-    return Patterns(np.array(items, np.int64), texts, flat[order], owner[order], place[order].astype(np.int64), table)
+    sizes = [len(t) for t in texts]
+    shape = [np.array(x, np.int64) for x in (sizes, list(map(spec.edits, sizes)), list(map(spec.least_hits, sizes)))]
+    return Patterns(np.array(items, np.int64), texts, flat[order], owner[order], place[order].astype(np.int64), table, *shape)
 
 
 def _dense_hits(data: np.ndarray, p: Patterns, spec: Lemma) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(position, pattern, position in it)`` of the shared q-grams, where the fewest that any pattern needs stand close together."""
     keys = _gram_keys(data, spec.q)
     near = np.flatnonzero(p.table[(keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
-    sizes = [len(t) for t in p.texts]
-    fewest = min(spec.least_hits(m) for m in sizes)
-    reach = max(m + spec.edits(m) for m in sizes)
+    fewest = int(p.least.min())
+    reach = int((p.sizes + p.edits).max())
     if len(near) < fewest:
         return (np.zeros(0, np.int64),) * 3
     # hit number i is worth a look if it is among `fewest` neighbouring hits that stand within reach
@@ -136,19 +140,64 @@ def _dense_hits(data: np.ndarray, p: Patterns, spec: Lemma) -> tuple[np.ndarray,
     return np.repeat(near, n), p.owner[which], p.place[which]
 
 
+def _banded(data: np.ndarray, lo: np.ndarray, hi: np.ndarray, start: np.ndarray, patterns: np.ndarray, width: int) -> np.ndarray:
+    """Least edits between row ``i`` of ``patterns`` and a stretch of ``data[lo[i]:hi[i]]`` on the ``width`` diagonals from ``start[i]``."""
+    m = patterns.shape[1]
+    slots = np.arange(width, dtype=np.int32)[:, None]
+    place = start + np.arange(m + width)[:, None]
+    # bytes beyond the text count as unequal
+    near = np.where((place >= lo) & (place < hi), data[np.clip(place, 0, len(data) - 1)], 0)
+    cost = np.zeros((width, len(start)), np.int32)
+    for i in range(m):
+        now = cost + (near[i : i + width] != patterns[:, i])
+        np.minimum(now[:-1], cost[1:] + 1, out=now[:-1])
+        now -= slots
+        np.minimum.accumulate(now, axis=0, out=now)
+        now += slots
+        cost = now
+    return cost.min(axis=0)
+
+
 def banded_distance(data: np.ndarray, start: np.ndarray, pattern: np.ndarray, width: int) -> np.ndarray:
     """Least edits between ``pattern`` and a stretch of ``data`` on the ``width`` diagonals from each ``start``."""
-    n = len(data)
-    slots = np.arange(width)
-    cost = np.zeros((len(start), width), np.int32)
-    for i, symbol in enumerate(pattern.tolist()):
-        place = start[:, None] + i + slots
-        inside = (place >= 0) & (place < n)
-        other = np.where(inside, data[np.clip(place, 0, n - 1)], 0) != symbol
-        now = cost + other
-        now[:, :-1] = np.minimum(now[:, :-1], cost[:, 1:] + 1)
-        cost = np.minimum.accumulate(now - slots, axis=1) + slots
-    return cost.min(axis=1)
+    n = len(start)
+    if not len(data):
+        return np.full(n, len(pattern), np.int32)
+    return _banded(data, np.zeros(n, np.int64), np.full(n, len(data)), start, np.broadcast_to(pattern, (n, len(pattern))), width)
+
+
+def _candidates(place: np.ndarray, owner: np.ndarray, inner: np.ndarray, row: np.ndarray, p: Patterns) -> tuple[np.ndarray, ...]:
+    """``(row, pattern, band, hits)`` of the bands of 2 k + 1 diagonals with the hits that a passage needs; bands overlap by half."""
+    key = row * len(p.texts) + owner
+    order = np.argsort(key, kind="stable")
+    first, count = run_lengths(key[order])
+    order = order[np.repeat(count >= p.least[owner[order[first]]], count)]
+    key, band = key[order], (place[order] - inner[order]) // (p.edits[owner[order]] + 1)
+    # any k + 1 neighbouring diagonals lie in one of the overlapping bands
+    key, band = np.concatenate([key, key]), np.concatenate([band, band - 1])
+    order = np.lexsort((band, key))
+    key, band = key[order], band[order]
+    fresh = np.ones(len(key), dtype=bool)
+    fresh[1:] = (key[1:] != key[:-1]) | (band[1:] != band[:-1])
+    first = np.flatnonzero(fresh)
+    hits = np.diff(np.append(first, len(key)))
+    key, band = key[first], band[first]
+    enough = hits >= p.least[key % len(p.texts)]
+    return key[enough] // len(p.texts), key[enough] % len(p.texts), band[enough], hits[enough]
+
+
+def _verified(data: np.ndarray, at: np.ndarray, p: Patterns, row: np.ndarray, owner: np.ndarray, band: np.ndarray, step: int = 1024) -> np.ndarray:
+    """Which candidates hold their pattern within its edits; those of one size of pattern are aligned together."""
+    out = np.zeros(len(row), dtype=bool)
+    for m in np.unique(p.sizes[owner]).tolist():
+        own = np.flatnonzero(p.sizes[owner] == m)
+        for lo in range(0, len(own), step):
+            part = own[lo : lo + step]
+            k = int(p.edits[owner[part[0]]])
+            start = band[part] * (k + 1) - k
+            texts = np.stack([p.texts[i] for i in owner[part].tolist()])
+            out[part] = _banded(data, at[row[part]], at[row[part] + 1], start, texts, 4 * k + 2) <= k
+    return out
 
 
 def matches(data: np.ndarray, at: np.ndarray, p: Patterns, spec: Lemma) -> tuple[np.ndarray, np.ndarray]:
@@ -159,30 +208,18 @@ def matches(data: np.ndarray, at: np.ndarray, p: Patterns, spec: Lemma) -> tuple
     place, owner, inner = _dense_hits(data, p, spec)
     row = np.searchsorted(at, place, "right") - 1
     inside = place + spec.q <= at[row + 1]
-    place, owner, inner, row = place[inside], owner[inside], inner[inside], row[inside]
-    rows, items = [none], [none]
-    for pattern in np.unique(owner).tolist():
-        text = p.texts[pattern]
-        k = spec.edits(len(text))
-        own = owner == pattern
-        diagonal, at_row = place[own] - inner[own], row[own]
-        width = k + 1
-        # overlapping bands of 2 k + 1 diagonals: any k + 1 neighbours lie in one of them
-        band = diagonal // width
-        twice = np.concatenate([band, band - 1])
-        order = np.lexsort((twice, np.concatenate([at_row, at_row])))
-        twice, owner_row = twice[order], np.concatenate([at_row, at_row])[order]
-        first, count = run_lengths(owner_row * (1 << 40) + twice + (1 << 30))
-        first = first[count >= spec.least_hits(len(text))]
-        if not len(first):
-            continue
-        # one text at a time would leave the edge of its neighbour in reach: bytes beyond it count as unequal
-        for r in np.unique(owner_row[first]).tolist():
-            start = twice[first][owner_row[first] == r] * width - at[r] - k
-            if banded_distance(data[at[r] : at[r + 1]], start, text, 2 * width + 2 * k).min() <= k:
-                rows.append(np.array([r]))
-                items.append(p.items[pattern : pattern + 1])
-    return np.concatenate(rows), np.concatenate(items)
+    row, owner, band, hits = _candidates(place[inside], owner[inside], inner[inside], row[inside], p)
+    # the fullest band of a row and item first, the others only where that one fails
+    item = p.items[owner]
+    order = np.lexsort((p.sizes[owner] - hits, item, row))
+    row, owner, band, item = row[order], owner[order], band[order], item[order]
+    fresh = np.ones(len(row), dtype=bool)
+    fresh[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1])
+    group, first = np.cumsum(fresh) - 1, np.flatnonzero(fresh)
+    found = _verified(data, at, p, row[first], owner[first], band[first])
+    rest = np.flatnonzero(~fresh & ~found[group])
+    found[group[rest[_verified(data, at, p, row[rest], owner[rest], band[rest])]]] = True
+    return row[first][found], item[first][found]
 
 
 def _finder(shared, spec: Lemma, columns: list[str]):

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -132,6 +133,28 @@ def test_leaks_edges(spark, edge_docs, no_docs):
     assert matches(np.zeros(0, np.uint8), np.zeros(1, np.int64), index_patterns([], Lemma()), Lemma())[0].size == 0
 
 
+def test_alignments_of_many_texts_are_one_call():
+    """Every text and pattern was aligned by itself, which was most of the CPU time."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randrange(3, 9))) for _ in range(200)]
+    passages = [" ".join(rng.choices(words, k=60)) for _ in range(4)]
+    p = index_patterns(list(enumerate(passages)), Lemma())
+
+    def calls(n: int) -> int:
+        texts = [edited(rng, passages[k % 4], 3, "abc") + " " + " ".join(rng.choices(words, k=9)) for k in range(n)]
+        data, at = normalised(pa.array(texts))
+        seen = []
+        sys.setprofile(lambda frame, event, arg: seen.append(event) if event.endswith("call") else None)
+        try:
+            rows, items = matches(data, at, p, Lemma())
+        finally:
+            sys.setprofile(None)
+        assert list(zip(rows.tolist(), items.tolist(), strict=True)) == [(k, k % 4) for k in range(n)]
+        return len(seen)
+
+    assert calls(200) < 3 * calls(20)
+
+
 # --- licences
 
 
