@@ -6,13 +6,14 @@ import random
 import re
 import sys
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lexloom.llm import plans
+from lexloom.llm import lines, plans
 from lexloom.llm.arrays import prefix_hash
 from lexloom.llm.chunking import GEAR, Chunks, chunk_spans, gear_hashes, remove_chunks
 from lexloom.llm.components import connected_components
@@ -351,6 +352,38 @@ def test_repeated_lines_equal_brute_force(spark, sent):
         assert cut[d] == "\n".join(x for k, x in enumerate(text.split("\n")) if k not in got[d])
 
 
+@pytest.mark.parametrize("most_edits", [2, 1 << 30])
+def test_keys_of_several_tables_give_the_same_lines(spark, most_edits, monkeypatch):
+    rng = random.Random(10)
+    rule = LineRule(bytes_per_edit=10, most_edits=most_edits, table_bits=1 << 20)
+    made = lines._key_tables
+    monkeypatch.setattr(lines, "_key_tables", lambda rows, found, n_keys, rule: made(rows, found, 1 << 19, rule))
+    base = [" ".join("".join(rng.choices("abcd", k=rng.randrange(1, 8))) for _ in range(rng.randrange(1, 16))) for _ in range(20)]
+    rows = []
+    for d in range(30):
+        texts = [edited(rng, rng.choice(base), rng.choice([0, 0, 1, 2, 3]), "abcd") for _ in range(rng.randrange(1, 6))]
+        rows.append((d, "\n".join(texts)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = lines._asked(rule)
+    tables = list(made(docs, found, 1 << 20, rule))
+    assert len(tables) == 8 and all(64 * len(t.some) <= rule.table_bits for t in tables)
+    keys = np.concatenate([key for key, _ in found(iter(docs.toArrow().to_batches()))])
+    assert (sum(t.has(keys).astype(int) for t in tables) == 1).all()
+    got: dict[int, set[int]] = {d: set() for d, _ in rows}
+    for r in repeated_lines(docs, rule).where("repeated").collect():
+        got[r["doc_id"]].add(r["line"])
+    assert got == slow_repeated(rows, rule)
+
+
+def test_lines_that_repeat_themselves_are_no_probes():
+    rule = LineRule()
+    text = "be " * 100 + "\n" + " ".join(f"w{k * k}" for k in range(60))
+    piece = pa.record_batch([pa.array([text])], names=["text"])
+    keys = np.concatenate([key for key, _ in lines._asked(rule)(iter([piece]))])
+    known = SimpleNamespace(value=SimpleNamespace(has=lambda k: np.isin(k, keys), shared=lambda k: np.zeros(len(k), bool)))
+    assert sum(b.num_rows for b in lines._prober(known, rule)(iter([piece]))) == 0
+
+
 def test_variants_inside_one_document_are_one_document(spark):
     row = "2024-01-{:02d} 10:00:00 INFO worker finished the nightly import of all tables without errors"
     rows = [(1, "\n".join(row.format(k) for k in range(10, 19))), (2, "a line of its own in another document\n" + row.format(30)), (3, "nothing shared")]
