@@ -33,16 +33,18 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def linked_components(
-    members: DataFrame, attributes: list[str], within_reach: str, confirm: Callable[[DataFrame], DataFrame], rounds: int = 3
+    members: DataFrame, attributes: list[str], within_reach: str, confirm: Callable[[DataFrame], DataFrame], rounds: int = 3,
+    closer: tuple[DataFrame, list[str], str] | None = None,
 ) -> DataFrame | None:
     """``(node, component)`` of all nodes that a confirmed link joins; none: no candidate.
 
     ``members`` is a written table ``(bucket, node, *attributes)``; nodes that share a bucket are candidates.
     ``within_reach`` is SQL over the attributes and ``other_`` ones that every link satisfies; ``confirm`` keeps the
-    linked ones of ``(a, b)``. In each round the members outside a bucket's largest known group meet a representative
-    of it and join it where they are linked; what is still in different groups at last meets pair by pair, so no
-    link between them is lost. Hot buckets are aggregated per task and split by salt; rounds are cut through the
-    shared folder.
+    linked ones of ``(a, b)``. ``closer`` takes the place of attributes and SQL for members that stay
+    open: a frame ``(node, ...)`` that is too wide for all, the attributes, those of the frame among them, and the SQL.
+    In each round the members outside a bucket's largest known group meet a representative of it and join it where they
+    are linked; what is still in different groups at last meets pair by pair, so no link between them is lost. Hot
+    buckets are aggregated per task and split by salt; rounds are cut through the shared folder.
     """
     links = tested = labels = None
     other = [F.col(c).alias(f"other_{c}") for c in attributes]
@@ -61,12 +63,17 @@ def linked_components(
         still = now.withColumn("salt", salt_of("node")).join(open_buckets.withColumn("salt", every_salt()), ["bucket", "salt"])
         if turn == rounds or work <= 2 * n_members:
             # every pair that is still open: this makes the result whole whatever the rounds have found
+            if closer is not None:
+                wide, attributes, within_reach = closer
+                still = still.select("bucket", "node", "component", "main", *(c for c in attributes if c not in wide.columns)).join(wide, "node")
+                other = [F.col(c).alias(f"other_{c}") for c in attributes]
             one = still.select("bucket", F.col("node").alias("x"), *attributes, F.col("component").alias("c"))
             two = still.where("component <> main").select("bucket", F.col("node").alias("y"), *other, F.col("component").alias("d"), "main")
             # members outside the main group meet it, and each other once
             pairs = _ordered(one.join(two, "bucket").where(F.expr(f"c <> d and (c = main or x < y) and {within_reach}")))
             if tested is not None:
-                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+                # a pair meets in several buckets; written first, it is looked up once
+                pairs = cut_lineage(pairs).join(tested, ["a", "b"], "left_anti")
             found = cut_lineage(confirm(cut_lineage(pairs)))
             return connected_components(found if links is None else links.union(found))
         # one representative a round for each member: the same one in most of the buckets that a group shares

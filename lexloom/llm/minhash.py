@@ -104,24 +104,26 @@ def band_keys(sig: np.ndarray, spec: Sketch) -> np.ndarray:
     return key.view(np.int64)
 
 
+#: Words of the parities that every set has, and of the finer ones for sets that stay open.
 PARITY = [f"parity{k}" for k in range(4)]
+FINE = [f"fine{k}" for k in range(32)]
 
 
-def parities(h: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    """Which of 256 classes of shingles each set has an odd number of, as four words.
+def parities(h: np.ndarray, at: np.ndarray, words: int = len(PARITY)) -> list[np.ndarray]:
+    """Which classes of shingles, 64 for each of ``words`` words, each set has an odd number of.
 
     Sets differ in these bits at most as often as in shingles, which bounds their similarity from above.
     """
-    bit = (mix(h) >> np.uint64(56)).astype(np.int64)
-    full = np.flatnonzero(np.diff(at))
-    out = []
-    for k in range(4):
-        word = np.where(bit >> 6 == k, np.uint64(1) << (bit & 63).astype(np.uint64), np.uint64(0))
-        total = np.zeros(len(at) - 1, np.uint64)
-        if len(full):
-            total[full] = np.bitwise_xor.reduceat(word, at[full])
-        out.append(total.view(np.int64))
-    return out
+    bit = (mix(h) >> np.uint64(65 - (64 * words).bit_length())).astype(np.int64)
+    out = np.zeros((len(at) - 1, words), np.uint64)
+    np.bitwise_xor.at(out, (np.repeat(np.arange(len(at) - 1), np.diff(at)), bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+    return list(np.ascontiguousarray(out.view(np.int64).T))
+
+
+def _apart(words: list[str], num: int) -> str:
+    """SQL: the parities differ in no more shingles than the similarity allows."""
+    bits = " + ".join(f"bit_count({p} ^ other_{p})" for p in words)
+    return f"{100 + num} * ({bits}) <= {100 - num} * (n_shingles + other_n_shingles)"
 
 
 def _sketcher(spec: Sketch):
@@ -151,7 +153,8 @@ def _set_writer(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
             h, at = shingle_sets(*utf8(piece.column("text")), width)
-            yield pa.record_batch([piece.column("doc_id"), as_lists(h.view(np.int64), at, pa.int64())], names=["node", "set"])
+            fine = map(pa.array, parities(h, at, len(FINE)))
+            yield pa.record_batch([piece.column("doc_id"), as_lists(h.view(np.int64), at, pa.int64()), *fine], names=["node", "set", *FINE])
 
     return run
 
@@ -198,17 +201,17 @@ def class_components(classes: DataFrame, docs: DataFrame, spec: Sketch) -> DataF
     """``(node, component)`` of the linked classes; ``classes`` has ``(node, n_shingles, keys)`` and the parities."""
     first = cut_lineage(shared_buckets(classes.select("node", "n_shingles", F.explode("keys").alias("bucket"))))
     wanted = first.select(F.col("node").alias("doc_id")).distinct()
-    sets = cut_lineage(docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(_set_writer(spec.shingle), "node bigint, set array<bigint>"))
+    sets = cut_lineage(docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(_set_writer(spec.shingle), "node bigint, set array<bigint>, " + ", ".join(f"{p} bigint" for p in FINE)))
     own = cut_lineage(_own_shingles(sets))
     members = first.join(own, "node", "left").na.fill(0, ["own"]).where(f"100 * (n_shingles - own) >= {spec.num} * n_shingles")
     members = members.join(classes.select("node", *PARITY).join(wanted.withColumnRenamed("doc_id", "node"), "node"), "node")
     # what two sets can share at most, as neither shares its own shingles, must reach the similarity
     most = "least(n_shingles - own, other_n_shingles - other_own)"
-    reach = f"100 * {most} >= {spec.num} * (n_shingles + other_n_shingles - {most})"
+    reach = f"{100 + spec.num} * {most} >= {spec.num} * (n_shingles + other_n_shingles)"
     # and they may not differ in more shingles than it allows
-    apart = " + ".join(f"bit_count({p} ^ other_{p})" for p in PARITY)
-    reach += f" and {100 + spec.num} * ({apart}) <= {100 - spec.num} * (n_shingles + other_n_shingles)"
-    labels = linked_components(cut_lineage(members), ["n_shingles", "own", *PARITY], reach, lambda pairs: _confirm(pairs, sets, spec.num))
+    near = f"{reach} and {_apart(PARITY, spec.num)}"
+    closer = sets.select("node", *FINE), ["n_shingles", "own", *FINE], f"{reach} and {_apart(FINE, spec.num)}"
+    labels = linked_components(cut_lineage(members), ["n_shingles", "own", *PARITY], near, lambda pairs: _confirm(pairs, sets, spec.num), closer=closer)
     return classes.select("node", F.col("node").alias("component")).limit(0) if labels is None else labels
 
 
