@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.arrays import LOWER, as_lists, combine, mix, per_row, pieces, prefix_hash, run_lengths, span_hash, utf8, word_spans
-from lexloom.llm.links import every_salt, linked_components, salt_of, shared_buckets
+from lexloom.llm.links import linked_components, shared_buckets
 from lexloom.session import cut_lineage
 
 @dataclass(frozen=True)
@@ -235,7 +235,7 @@ def near_duplicates(docs: DataFrame, spec: Sketch = Sketch()) -> DataFrame:
     # only sets that occur twice or are linked need the way back
     named = groups.select("digest", "node", "n").join(labels, "node", "left").where("n > 1 or component is not null")
     named = named.select("digest", F.coalesce("component", "node").alias("component"))
-    rows = sketch.select("doc_id", "n_shingles", "digest").withColumn("salt", salt_of("doc_id"))
-    joined = rows.join(named.withColumn("salt", every_salt()), ["digest", "salt"], "left")
+    # plain exchanges: a set with very many copies makes a large part, which Spark's skew handling splits
+    joined = sketch.select("doc_id", "n_shingles", "digest").join(named.hint("merge"), "digest", "left")
     component = F.coalesce("component", "doc_id")
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
