@@ -5,7 +5,7 @@ shifted by one place for each further coordinate, ranks them. A shingle's ranks
 one contiguous slice of the second permutation.
 
 At scale: equal shingle sets are one class before any banding, so copies cost one row each. Buckets and
-representatives are aggregated per task first; a member meets its bucket's representative in a salted join.
+representatives are aggregated per task first; a member meets its bucket's representative in a plain join.
 Members of a bucket that already share a component are never paired again, which is what keeps a large
 group of near copies near linear; the pairs that stay open after the representative rounds are all compared,
 but for those whose own shingles (that no other candidate has) or parities rule the similarity out.
